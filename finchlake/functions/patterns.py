@@ -11,6 +11,9 @@ from __future__ import annotations
 SPACE_SET = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 SPACE = f"[{SPACE_SET}]"
 NOT_SPACE = f"[^{SPACE_SET}]"
+# White space that is anything but one plain space: what squeezing has to change.
+_ODD_SPACE = SPACE.replace(r"\x{1c}-\x{20}", r"\x{1c}-\x{1f}")
+ODD_RUN = f" {SPACE}+|{_ODD_SPACE}{SPACE}*"
 
 WORD_SET = r"\p{L}\p{N}_"
 WORD = f"[{WORD_SET}]"
@@ -58,7 +61,10 @@ TWEET_TOKEN_CLASSES = {
     "ellipsis": rf"\.[{SPACE_SET}.]*\.",
     "other": NOT_SPACE,
 }
-TWEET_TOKEN = "(?i)(?:" + "|".join(TWEET_TOKEN_CLASSES.values()) + ")"
+# Most tokens are plain words before a space, a comma or a full stop. No class can match them
+# differently, so they are taken first, without trying the others.
+_PLAIN_WORD = r"[a-zA-ZÀ-ÖØ-öø-ÿ]++(?=[ \t\n\r,]|\.(?:[ \t\n\r]|$)|$)"
+TWEET_TOKEN = "(?s)(?:" + _PLAIN_WORD + "|(?i:" + "|".join(TWEET_TOKEN_CLASSES.values()) + "))"
 
 
 def alternation(words: list[str]) -> str:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from finchlake.functions.text import bind
+
 # A word is [C](VC)^m[V]; y is a vowel after a consonant. These express conditions on m as patterns.
 _C = "[^aeiou][^aeiouy]*"
 _V = "[aeiouy][aeiou]*"
@@ -56,8 +58,8 @@ def _step1b(w: Column) -> Column:
     ed, ing = _cut(w, 2), _cut(w, 3)
     return (
         F.when(w.endswith("eed"), F.when(ing.rlike(M_POSITIVE), _cut(w, 1)).otherwise(w))
-        .when(w.endswith("ed"), F.when(ed.rlike(HAS_VOWEL), _step1b_tidy(ed)).otherwise(w))
-        .when(w.endswith("ing"), F.when(ing.rlike(HAS_VOWEL), _step1b_tidy(ing)).otherwise(w))
+        .when(w.endswith("ed"), F.when(ed.rlike(HAS_VOWEL), bind(ed, _step1b_tidy)).otherwise(w))
+        .when(w.endswith("ing"), F.when(ing.rlike(HAS_VOWEL), bind(ing, _step1b_tidy)).otherwise(w))
         .otherwise(w)
     )
 
@@ -97,11 +99,15 @@ def _step5(w: Column) -> Column:
     )
 
 
-def porter_steps():
-    """The steps in order; apply each in its own projection so that no expression is repeated."""
-    return [
+def porter_stem(word: Column) -> Column:
+    """The stem of a lowercase word; words of one or two letters stay as they are."""
+    steps = [
         _step1a, _step1b, _step1c,
         lambda w: _suffix_step(w, STEP2, M_POSITIVE),
         lambda w: _suffix_step(w, STEP3, M_POSITIVE),
         _step4, _step5,
     ]
+    stem = word
+    for step in steps:
+        stem = bind(stem, step)
+    return F.when(F.length(word) > 2, stem).otherwise(word)

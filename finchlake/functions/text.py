@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from finchlake.constants import CONTRACTIONS, SLANG
 from finchlake.functions.patterns import (
-    DIGIT, NOT_SPACE, SPACE, SPACE_SET, WORD, WORD_SET, alternation,
+    DIGIT, NOT_SPACE, ODD_RUN, SPACE_SET, WORD, WORD_SET, alternation,
 )
 
 
@@ -19,7 +19,19 @@ def as_text(col: Column) -> Column:
 
 
 def literal_map(mapping: dict[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+    """A small dictionary as one literal, parsed once by the optimizer."""
+    pairs = "\x02".join(f"{k}\x03{v}" for k, v in mapping.items())
+    return F.str_to_map(F.lit(pairs), F.lit("\x02"), F.lit("\x03"))
+
+
+def bind(col: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(col)`` with ``col`` evaluated once, however often the body refers to it.
+
+    Composed functions would otherwise repeat their input in the expression tree, which then grows
+    exponentially with the number of steps. ``body`` may use its argument and columns, but not the
+    variable of an enclosing higher-order function; pass such a value in as a field of a struct.
+    """
+    return F.get(F.transform(F.array(col), body), F.lit(0))
 
 
 def rewrite_matches(col: Column, pattern: str, rewrite: Callable[[Column], Column]) -> Column:
@@ -28,11 +40,14 @@ def rewrite_matches(col: Column, pattern: str, rewrite: Callable[[Column], Colum
     The text is cut at the matches and stitched together again, so a replacement is never itself
     matched, which a chain of ``replace`` calls cannot guarantee. Texts without a match skip the work.
     """
-    gaps = F.split(col, pattern, -1)
-    found = F.regexp_extract_all(col, F.lit(pattern), F.lit(0))
-    fills = F.concat(F.transform(found, rewrite), F.array(F.lit("")))
-    stitched = F.array_join(F.zip_with(gaps, fills, lambda gap, fill: F.concat(gap, fill)), "")
-    return F.when(col.rlike(pattern), stitched).otherwise(col)
+    def stitch(text: Column) -> Column:
+        gaps = F.split(text, pattern, -1)
+        found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        fills = F.concat(F.transform(found, rewrite), F.array(F.lit("")))
+        stitched = F.array_join(F.zip_with(gaps, fills, lambda gap, fill: F.concat(gap, fill)), "")
+        return F.when(text.rlike(pattern), stitched).otherwise(text)
+
+    return bind(col, stitch)
 
 
 def remove_urls(col: Column) -> Column:
@@ -88,15 +103,14 @@ def space_words(col: Column) -> Column:
 
 def squeeze_space(col: Column) -> Column:
     """Every run of white space becomes one space; none is left at either end."""
-    return F.trim(F.regexp_replace(col, f"{SPACE}+", " "))
+    return F.trim(F.regexp_replace(col, ODD_RUN, " "))
 
 
 def replace_slang(col: Column, mapping: dict[str, str] = SLANG) -> Column:
     """Replace white-space-delimited words found in ``mapping``; white space is normalised."""
     table = literal_map(mapping)
-    words = space_words(col)
-    replaced = F.transform(words, lambda w: F.when(w.isin(*mapping), table[w]).otherwise(w))
-    return F.array_join(replaced, " ")
+    word = rf"(?<![^ ])(?:{alternation(list(mapping))})(?![^ ])"
+    return rewrite_matches(squeeze_space(col), word, lambda found: table[found])
 
 
 def squeeze_elongation(col: Column) -> Column:

@@ -14,7 +14,7 @@ from finchlake.constants import (
 from finchlake.functions.patterns import (
     EMOTICON, NOT_SPACE, SPACE, SPACE_SET, TWEET_TOKEN, WORD, alternation,
 )
-from finchlake.functions.text import literal_map, rewrite_matches, space_words
+from finchlake.functions.text import bind, literal_map, rewrite_matches, space_words
 
 _SEP = "\x01"  # joins tokens that may contain spaces; never part of a token
 
@@ -25,7 +25,9 @@ def _tokenizer_entities(col: Column) -> Column:
     """Decode ``&name;`` and ``&#n;`` as the tweet tokenizer does; unknown references vanish."""
     names = {n: chr(p) for n, p in html.entities.name2codepoint.items()}
     table = literal_map(names)
-    cp1252 = F.array(*[F.lit(bytes([b]).decode("cp1252", "ignore")) for b in range(0x80, 0xA0)])
+    cp1252 = F.split(
+        F.lit("|".join(bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0))), r"\|"
+    )
 
     def decode(ref: Column) -> Column:
         body = F.regexp_extract(ref, r"^&#?[xX]?(.*);$", 1)
@@ -42,39 +44,48 @@ def _tokenizer_entities(col: Column) -> Column:
         return F.coalesce(F.when(ref.startswith("&#"), char).otherwise(named), F.lit(""))
 
     unit = rf"&[^&;{SPACE_SET}]+;"
-    return F.when(col.contains("&"), rewrite_matches(col, unit, decode)).otherwise(col)
+    return bind(
+        col, lambda t: F.when(t.contains("&"), rewrite_matches(t, unit, decode)).otherwise(t)
+    )
 
 
-def tweet_tokens(col: Column, lowercase: bool = True) -> Column:
+def tweet_tokens(col: Column, lowercase: bool = True, folded: bool = False) -> Column:
     """Tokens of a tweet: URLs, emoticons, handles, hashtags and words stay whole.
 
     Character runs of three and more count as three, handles are kept, and everything but emoticons
-    is lowercased.
+    is lowercased. ``folded`` says that the text is lowercase already, which saves a pass over the
+    tokens.
     """
-    squeezed = F.regexp_replace(_tokenizer_entities(col), r"(.)\1{3,}", "$1$1$1")
-    tokens = F.regexp_extract_all(squeezed, F.lit(f"(?s){TWEET_TOKEN}"), F.lit(0))
-    if not lowercase:
+    decoded = _tokenizer_entities(col)
+    squeezed = F.regexp_replace(F.lower(decoded) if folded else decoded, r"(.)\1{3,}", "$1$1$1")
+    tokens = F.regexp_extract_all(squeezed, F.lit(TWEET_TOKEN), F.lit(0))
+    if folded or not lowercase:
         return tokens
-    has_face = F.exists(tokens, lambda t: t.rlike(EMOTICON) & (F.lower(t) != t))
-    slow = F.transform(tokens, lambda t: F.when(t.rlike(EMOTICON), t).otherwise(F.lower(t)))
-    return F.when(has_face, slow).otherwise(F.transform(tokens, F.lower))
+
+    def lower_all(found: Column) -> Column:
+        face = F.exists(found, lambda t: (F.lower(t) != t) & t.rlike(EMOTICON))
+        careful = F.transform(found, lambda t: F.when(t.rlike(EMOTICON), t).otherwise(F.lower(t)))
+        return F.when(face, careful).otherwise(F.transform(found, F.lower))
+
+    return bind(tokens, lower_all)
 
 
 # ---------------------------------------------------------------- word tokenizer
 
 # Penn-Treebank-style splitting as an ordered list of (pattern, replacement).
+# Conditions on what precedes are checked after the first literal character has matched.
 _TREEBANK = [
     (r"\.{2,}", " $0 "),
-    (r"([:,])(?=[^0-9]|$)", " $1 "),
+    (r"[:,](?=[^0-9]|$)", " $0 "),
     (r"[;@#$%&?!*\[\](){}<>\"«»“”‘’„`]", " $0 "),
     (r"--+", " $0 "),
-    (rf"([^.{SPACE_SET}])\.(?=[{SPACE_SET}]|$)", "$1 . "),
-    (rf"(?<![{SPACE_SET}'])'(?=[{SPACE_SET}]|$)", " ' "),
-    (rf"(?i)(?<=[^{SPACE_SET}'])('(?:s|m|d|ll|re|ve)|n't)(?![^{SPACE_SET}])", " $1"),
-    (rf"(?i)(?<![^{SPACE_SET}])(can)(not)(?![^{SPACE_SET}])", "$1 $2"),
-    (rf"(?i)(?<![^{SPACE_SET}])(gon|wan)(na)(?![^{SPACE_SET}])", "$1 $2"),
-    (rf"(?i)(?<![^{SPACE_SET}])(got)(ta)(?![^{SPACE_SET}])", "$1 $2"),
-    (rf"(?i)(?<![^{SPACE_SET}])(gim|lem)(me)(?![^{SPACE_SET}])", "$1 $2"),
+    (rf"\.(?<=[^.{SPACE_SET}]\.)(?=[{SPACE_SET}]|$)", " . "),
+    (rf"'(?<=[^{SPACE_SET}']')(?=[{SPACE_SET}]|$)", " ' "),
+    (rf"(?i)('(?<=[^{SPACE_SET}']')(?:s|m|d|ll|re|ve)|n(?<=[^{SPACE_SET}']n)'t)(?![^{SPACE_SET}])", " $1"),
+    (rf"(?i)(can(?<![^{SPACE_SET}]can))(not)(?![^{SPACE_SET}])", "$1 $2"),
+    (rf"(?i)((?:gon|wan)(?<![^{SPACE_SET}].{{3}}))(na)(?![^{SPACE_SET}])", "$1 $2"),
+    (rf"(?i)(got(?<![^{SPACE_SET}]got))(ta)(?![^{SPACE_SET}])", "$1 $2"),
+    (rf"(?i)((?:gim|lem)(?<![^{SPACE_SET}].{{3}}))(me)(?![^{SPACE_SET}])", "$1 $2"),
 ]
 
 
@@ -174,34 +185,41 @@ def sentence_stats(col: Column) -> Column:
         F.transform(sentences(col), lambda s: F.size(tweet_tokens(s, lowercase=False))),
         lambda n: n > 0,
     )
-    total = F.aggregate(sizes, F.lit(0), lambda acc, n: acc + n)
-    return F.struct(
-        F.coalesce(F.array_min(sizes), F.lit(0)).alias("min"),
-        F.coalesce(F.array_max(sizes), F.lit(0)).alias("max"),
-        F.when(F.size(sizes) > 0, total / F.size(sizes)).otherwise(F.lit(0.0)).alias("mean"),
-    )
+
+    def summary(found: Column) -> Column:
+        total = F.aggregate(found, F.lit(0), lambda acc, n: acc + n)
+        return F.struct(
+            F.coalesce(F.array_min(found), F.lit(0)).alias("min"),
+            F.coalesce(F.array_max(found), F.lit(0)).alias("max"),
+            F.when(F.size(found) > 0, total / F.size(found)).otherwise(F.lit(0.0)).alias("mean"),
+        )
+
+    return bind(sizes, summary)
 
 
 def length_tokens(stats: Column) -> Column:
     """``MIN_LEN<k>``, ``MAX_LEN<k>``, ``MEAN_LEN<k>`` with k the length in steps of five."""
-    def one(name: str) -> Column:
-        step = F.floor(stats[name.lower()] / 5).cast("string")
+    def one(stat: Column, name: str) -> Column:
+        step = F.floor(stat[name.lower()] / 5).cast("string")
         return F.concat(F.lit(f"{name}_LEN<"), step, F.lit(">"))
 
-    return F.array(one("MIN"), one("MAX"), one("MEAN"))
+    return bind(stats, lambda s: F.array(one(s, "MIN"), one(s, "MAX"), one(s, "MEAN")))
 
 
 # ---------------------------------------------------------------- n-grams
 
 def token_ngrams(tokens: Column, n: int) -> Column:
     """Runs of ``n`` neighbouring tokens joined by a space; empty when there are too few."""
-    count = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
-    grams = F.slice(tokens, 1, count)
-    for k in range(1, n):
-        grams = F.zip_with(
-            grams, F.slice(tokens, k + 1, count), lambda left, right: F.concat_ws(" ", left, right)
-        )
-    return grams
+    def grams(found: Column) -> Column:
+        count = F.greatest(F.size(found) - (n - 1), F.lit(0))
+        out = F.slice(found, 1, count)
+        for k in range(1, n):
+            out = F.zip_with(
+                out, F.slice(found, k + 1, count), lambda left, right: F.concat_ws(" ", left, right)
+            )
+        return out
+
+    return bind(tokens, grams)
 
 
 def char_windows(col: Column, size: int = 5) -> Column:
@@ -224,13 +242,13 @@ def window_grams(window: Column, low: int = 3, high: int = 5) -> Column:
 def char_ngrams(col: Column, low: int = 3, high: int = 5) -> Column:
     """All character n-grams of the text as one array (for in-row hashing)."""
     clean = F.regexp_replace(F.lower(col), f"{SPACE}{SPACE}+", " ")
-    parts = [
-        F.regexp_extract_all(
-            clean, F.lit(rf"(?s)(?=([^\x{{DC00}}-\x{{DFFF}}].{{{n - 1}}}))"), F.lit(1)
-        )
-        for n in range(low, high + 1)
-    ]
-    return F.concat(*parts)
+
+    def pattern(n: int) -> Column:
+        return F.lit(rf"(?s)(?=([^\x{{DC00}}-\x{{DFFF}}].{{{n - 1}}}))")
+
+    return bind(clean, lambda text: F.concat(
+        *[F.regexp_extract_all(text, pattern(n), F.lit(1)) for n in range(low, high + 1)]
+    ))
 
 
 # ---------------------------------------------------------------- lexicon

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finchlake.constants import EMOJI_BLOCKS, EMOJI_CLDR_NAMES, EMOJI_SYMBOLS, SKIN_TONES
-from finchlake.functions.text import rewrite_matches
+from finchlake.functions.text import bind, rewrite_matches
 
 # Characters that NFKC never changes and that never combine with a neighbour: ASCII, most of Latin-1,
 # Latin Extended-A without its ligatures, basic Cyrillic, the common curly quotes and dashes,
@@ -82,9 +82,8 @@ def _dense(names: dict[str, str], base: int, end: int) -> Column:
     return F.split(F.lit("|".join(names.get(chr(p), "") for p in range(base, end + 1))), r"\|")
 
 
-def _emoji_unit_text(unit: Column, names: dict[str, str]) -> Column:
-    point = F.ascii(unit)
-    name = (
+def _emoji_name(point: Column, names: dict[str, str]) -> Column:
+    return (
         F.when(point >= _PICTO_BASE,
                F.get(_dense(names, _PICTO_BASE, _PICTO_END), point - _PICTO_BASE))
         .when(point >= _SYMBOL_BASE,
@@ -92,11 +91,21 @@ def _emoji_unit_text(unit: Column, names: dict[str, str]) -> Column:
         .when(point == 0xA9, F.lit(names.get("\xa9", "")))
         .otherwise(F.lit(names.get("\xae", "")))
     )
-    tone = F.regexp_extract(unit, r"([\x{1f3fb}-\x{1f3ff}])", 1)
+
+
+def _emoji_unit_text(unit: Column, names: dict[str, str]) -> Column:
     tones = F.array(*[F.lit("_" + t) for t in SKIN_TONES])
-    suffix = F.when(tone != "", F.get(tones, F.ascii(tone) - 0x1F3FB)).otherwise("")
-    named = F.concat(F.lit(":"), name, suffix, F.lit(":"))
-    return F.when(name == "", unit).otherwise(named)
+    tone = F.regexp_extract(unit, r"([\x{1f3fb}-\x{1f3ff}])", 1)
+    parts = F.struct(
+        unit.alias("unit"),
+        _emoji_name(F.ascii(unit), names).alias("name"),
+        F.coalesce(F.get(tones, F.ascii(tone) - 0x1F3FB), F.lit("")).alias("tone"),
+    )
+    return bind(
+        parts,
+        lambda p: F.when(p["name"] == "", p["unit"])
+        .otherwise(F.concat(F.lit(":"), p["name"], p["tone"], F.lit(":"))),
+    )
 
 
 def emoji_to_text(col: Column, extra_names: dict[str, str] | None = None) -> Column:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finchlake.functions.tokens import count_hits
-from finchlake.operators.lookup import exploded, keyed_lookup
+from finchlake.operators.lookup import keyed_lookup
+from finchlake.operators.rows import exploded
 
 IN_ROW_WORDS = 20_000
 

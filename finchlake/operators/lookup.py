@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from finchlake.operators.rows import collected, exploded
+
 HOT_SHARE = 0.001       # a key above this share of all facts is hot; at most 1/HOT_SHARE keys are
 SALTS = 64              # tasks that share one hot key
 BROADCAST_ROWS = 1_000_000
@@ -42,7 +44,7 @@ def weighted_lookup(facts: DataFrame, dim: DataFrame, key: str, weight: str, spr
     """Inner join of ``facts`` with the unique-keyed ``dim``, hot keys salted.
 
     ``weight`` is the number of facts per key and ``spread`` any column expression that varies within
-    a key (such as the row's id). Facts of a hot key go to SALTS tasks; only the few hot rows of
+    a key (such as the id of the row). Facts of a hot key go to SALTS tasks; only the few hot rows of
     ``dim`` are repeated. Where ``dim`` is small, Spark still turns this into a broadcast join.
     """
     hot = F.broadcast(hot_keys(dim, key, weight).withColumn("_hot", F.lit(True)))
@@ -82,21 +84,6 @@ def keyed_lookup(
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
-def exploded(df: DataFrame, key: str, tokens: str) -> DataFrame:
-    """One row per token with its position, laid out by ``key``.
-
-    The documents are exchanged once, while still one compact row each; everything grouped by ``key``
-    afterwards needs no further exchange.
-    """
-    return df.repartition(key).select(key, F.posexplode(tokens).alias("pos", "token"))
-
-
-def collected(df: DataFrame, key: str, token: str, into: str) -> DataFrame:
-    """Back from one row per token to one array per document (a document's own tokens only)."""
-    ordered = F.array_sort(F.collect_list(F.struct("pos", F.col(token).alias("_t"))))
-    return df.groupBy(key).agg(F.transform(ordered, lambda s: s["_t"]).alias(into))
-
-
 def substitute_tokens(
     df: DataFrame, key: str, tokens: str, mapping: DataFrame, into: str | None = None
 ) -> DataFrame:

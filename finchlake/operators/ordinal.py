@@ -26,11 +26,13 @@ def ordinal(df: DataFrame, key: str, into: str = "ord", buckets: int | None = No
     if buckets > 1 and total > 1:
         shares = [i / buckets for i in range(1, buckets)]
         cuts = sorted(set(keys.approxQuantile("_k", shares, 0.1 / buckets)))
-    edges = Bucketizer(
-        splits=[float("-inf"), *cuts, float("inf")], inputCol="_k", outputCol="_b"
-    )
 
     def bucketed(frame: DataFrame) -> DataFrame:
+        if not cuts:
+            return frame.withColumn("_b", F.lit(0))
+        edges = Bucketizer(
+            splits=[float("-inf"), *cuts, float("inf")], inputCol="_k", outputCol="_b"
+        )
         placed = edges.transform(frame.withColumn("_k", F.col(key).cast("double")))
         return placed.withColumn("_b", F.col("_b").cast("int")).drop("_k")
 

@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finchlake.constants import DETACHMENT_RULES
-from finchlake.functions.stem import porter_steps
+from finchlake.functions.stem import porter_stem
+from finchlake.operators.rows import element_rows, laid_out
 
 
 def word_counts(df: DataFrame, tokens: str) -> DataFrame:
     """word, n over all token arrays (partial aggregation absorbs frequent words)."""
-    words = df.select(F.explode(tokens).alias("word"))
+    words = element_rows(df, [], tokens, "word")
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -26,9 +27,7 @@ def stem_map(words: DataFrame) -> DataFrame:
 
     Words are lowercased; words of one or two letters stay as they are.
     """
-    stemmed = words.select("word").distinct().withColumn("_s", F.lower("word"))
-    for step in porter_steps():
-        stemmed = stemmed.withColumn("_s", F.when(F.length("word") > 2, step(F.col("_s"))).otherwise(F.col("_s")))
+    stemmed = words.select("word").distinct().withColumn("_s", porter_stem(F.lower("word")))
     return stemmed.where(F.col("_s") != F.col("word")).select(
         F.col("word").alias("token"), F.col("_s").alias("replacement")
     )
@@ -138,16 +137,18 @@ def spelling_map(words: DataFrame, dictionary: DataFrame, max_edits: int = 2) ->
         .join(dictionary.select("word"), "word", "left_anti")
         .select(F.col("word").alias("token"))
     )
-    one = unknown.select("token", F.explode(_one_edit_keys(F.col("token"), True)).alias("key")).join(
-        known.select("candidate", "n", F.explode(_one_edit_keys(F.col("candidate"), False)).alias("key")),
+    # Every word becomes many keys, so the words are spread before they are expanded.
+    known, unknown = laid_out(known, "candidate"), laid_out(unknown, "token")
+    one = element_rows(unknown, ["token"], _one_edit_keys(F.col("token"), True), "key").join(
+        element_rows(known, ["candidate", "n"], _one_edit_keys(F.col("candidate"), False), "key"),
         "key",
     )
     near = _best(one.where(F.col("token") != F.col("candidate")))
     if max_edits < 2:
         return near
     rest = unknown.join(near.select("token"), "token", "left_anti")
-    two = rest.select("token", F.explode(_two_edit_keys(F.col("token"))).alias("key")).join(
-        known.select("candidate", "n", F.explode(_two_edit_keys(F.col("candidate"))).alias("key")),
+    two = element_rows(rest, ["token"], _two_edit_keys(F.col("token")), "key").join(
+        element_rows(known, ["candidate", "n"], _two_edit_keys(F.col("candidate")), "key"),
         "key",
     )
     within = F.levenshtein(F.col("token"), F.col("candidate"), 2) >= 0

@@ -9,7 +9,8 @@ from finchlake.functions import text as tx
 from finchlake.functions import tokens as tk
 from finchlake.functions import unicode as un
 from finchlake.operators.lexicon import with_hits
-from finchlake.operators.lookup import collected, exploded, keyed_lookup
+from finchlake.operators.lookup import keyed_lookup
+from finchlake.operators.rows import collected, exploded
 
 
 def light_clean(col: Column) -> Column:
@@ -67,7 +68,7 @@ def pre_process(
     """
     source = F.lower(tx.as_text(F.col(text))) if lowercase_first else F.col(text)
     out = df.withColumn("_clean", clean_text(source, hashtag_mode, remove_punctuation))
-    out = out.withColumn(into, tk.tweet_tokens(F.col("_clean"))).drop("_clean")
+    out = out.withColumn(into, tk.tweet_tokens(F.col("_clean"), folded=True)).drop("_clean")
     if lemmas is not None:
         out = lemmatize(out, key, into, lemmas, tags)
     if add_bigrams:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from finchlake.functions import tokens as tk
 from finchlake.operators import ordinal
 from finchlake.operators.lexicon import with_hits
+from finchlake.operators.rows import laid_out
 from finchlake.plans.preprocess import pre_process
 
 # Endings that bring URLs, hashtags, slang, emoji and so on into the texts, by doc_id modulo 8.
@@ -60,9 +61,17 @@ def processed(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return pre_process(noisy_tweets(spark, sf_dir), "doc_id", "text", LEXICON, **options)
 
 
+def processed_by_id(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    """The same, laid out by doc_id before any work, for queries that explode and regroup."""
+    docs = laid_out(noisy_tweets(spark, sf_dir), "doc_id")
+    return pre_process(docs, "doc_id", "text", LEXICON, **options)
+
+
 def tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, tokens: pre-processed tokens only, without bigrams and markers."""
-    return processed(spark, sf_dir, add_bigrams=False, add_lexicon_tokens=False)
+    """doc_id, tokens: pre-processed tokens only, without bigrams and markers; laid out by doc_id."""
+    return processed_by_id(spark, sf_dir, add_bigrams=False, add_lexicon_tokens=False).select(
+        "doc_id", "tokens"
+    )
 
 
 def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

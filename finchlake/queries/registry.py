@@ -19,12 +19,13 @@ from finchlake.functions.patterns import SPACE
 from finchlake.operators import lexicon as lx
 from finchlake.operators import metrics, ordinal, terms, vocabulary
 from finchlake.operators.lookup import substitute_tokens
+from finchlake.operators.rows import element_rows, laid_out
 from finchlake.plans import evaluate, model, preprocess
 from finchlake.plans.features import embed, hashed_projection
 from finchlake.queries import fixtures as fx
 from finchlake.queries import sql as q
 from finchlake.queries import stem_sql
-from finchlake.session import fresh_path
+from finchlake.session import fresh_path, written
 from finchlake.sources import labelled as src
 from finchlake.sources import lexicon as lex_src
 
@@ -72,8 +73,8 @@ text_query("clean_text", preprocess.clean_text, q.clean("text"))
 
 
 @query("html_entities", q.with_(q.NOISY) + (
-    "SELECT kind, id, replace(replace(replace(replace(replace(replace(text, '&nbsp;', chr(160)), "
-    "'&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&') AS text FROM "
+    "SELECT kind, id, replace(regexp_replace(replace(replace(replace(text, '&quot;', '\"'), '&middot;', '·'), "
+    "'&copy;', '©'), '&amp;?', '&', 'g'), chr(1), '') AS text FROM "
     "(SELECT 'tweet' AS kind, doc_id AS id, text FROM noisy UNION ALL "
     "SELECT 'page', page_id, html FROM pages)"
 ))
@@ -154,7 +155,7 @@ _BASE_ROWS = "base_rows AS (SELECT doc_id, unnest(toks) AS tok, unnest(range(len
     f"SELECT doc_id, {_TAG_SQL} AS wn_class, count(*) AS n FROM base_rows GROUP BY ALL"
 ))
 def wordnet_pos(spark, sf_dir):
-    rows = fx.tokenized(spark, sf_dir).repartition("doc_id").select("doc_id", F.explode("tokens").alias("token"))
+    rows = element_rows(fx.tokenized(spark, sf_dir), ["doc_id"], "tokens", "token")
     classes = rows.select("doc_id", tk.wordnet_class(fx.suffix_tag(F.col("token"))).alias("wn_class"))
     return classes.groupBy("doc_id", "wn_class").agg(F.count(F.lit(1)).alias("n"))
 
@@ -162,9 +163,14 @@ def wordnet_pos(spark, sf_dir):
 DICTIONARY_MIN = 20
 
 
-def dictionary(tokenized: DataFrame) -> DataFrame:
-    """word, n: words that occur often enough in the corpus to count as correct."""
-    return vocabulary.word_counts(tokenized, "tokens").where(F.col("n") >= DICTIONARY_MIN)
+def corpus_words(tokenized: DataFrame) -> DataFrame:
+    """word, n over the corpus, written once because several steps start from it."""
+    return written(vocabulary.word_counts(tokenized, "tokens"), "words")
+
+
+def dictionary(words: DataFrame) -> DataFrame:
+    """Words that occur often enough in the corpus to count as correct."""
+    return words.where(F.col("n") >= DICTIONARY_MIN)
 
 
 _COUNTS_SQL = "counts AS (SELECT tok AS word, count(*) AS n FROM base_rows GROUP BY tok)"
@@ -187,10 +193,10 @@ _LEMMA_SQL = (
     f"LEFT JOIN lemmas ON word = tok AND cls = {_TAG_SQL} GROUP BY doc_id"
 ))
 def lemmas(spark, sf_dir):
-    rows = fx.tokenized(spark, sf_dir).select("doc_id", "tokens")
-    words = vocabulary.word_counts(rows, "tokens")
+    rows = fx.tokenized(spark, sf_dir)
+    words = corpus_words(rows)
     tagged = words.select("word", tk.wordnet_class(fx.suffix_tag(F.col("word"))).alias("wn_class"))
-    table = vocabulary.lemma_map(tagged, words.where(F.col("n") >= DICTIONARY_MIN))
+    table = written(vocabulary.lemma_map(tagged, dictionary(words)), "lemmas")
     out = preprocess.lemmatize(rows, "doc_id", "tokens", table, fx.suffix_tag(F.col("token")))
     return out.select("doc_id", fx.joined_tokens("tokens"))
 
@@ -200,8 +206,8 @@ def lemmas(spark, sf_dir):
     "JOIN stems ON word = tok GROUP BY doc_id"
 ))
 def stems(spark, sf_dir):
-    rows = fx.tokenized(spark, sf_dir).select("doc_id", "tokens")
-    mapping = vocabulary.stem_map(vocabulary.word_counts(rows, "tokens"))
+    rows = fx.tokenized(spark, sf_dir)
+    mapping = written(vocabulary.stem_map(corpus_words(rows)), "stems")
     return substitute_tokens(rows, "doc_id", "tokens", mapping).select("doc_id", fx.joined_tokens("tokens"))
 
 
@@ -216,8 +222,8 @@ pairs AS (SELECT u.word AS token, k.word AS candidate, k.n,
 SELECT token, first(candidate ORDER BY edits, n DESC, candidate DESC) AS replacement
 FROM pairs WHERE edits IS NOT NULL GROUP BY token""")
 def spell_map(spark, sf_dir):
-    rows = fx.tokenized(spark, sf_dir)
-    return vocabulary.spelling_map(vocabulary.word_counts(rows, "tokens"), dictionary(rows))
+    words = corpus_words(fx.tokenized(spark, sf_dir))
+    return vocabulary.spelling_map(words, dictionary(words))
 
 
 @query("spell_corrected", ORACLES["spell_map"].replace(
@@ -226,8 +232,9 @@ def spell_map(spark, sf_dir):
 SELECT doc_id, string_agg(coalesce(replacement, tok), ' ' ORDER BY pos) AS tokens
 FROM base_rows LEFT JOIN best ON token = tok GROUP BY doc_id""")
 def spell_corrected(spark, sf_dir):
-    rows = fx.tokenized(spark, sf_dir).select("doc_id", "tokens")
-    mapping = vocabulary.spelling_map(vocabulary.word_counts(rows, "tokens"), dictionary(rows))
+    rows = fx.tokenized(spark, sf_dir)
+    words = corpus_words(rows)
+    mapping = written(vocabulary.spelling_map(words, dictionary(words)), "spellings")
     return substitute_tokens(rows, "doc_id", "tokens", mapping).select("doc_id", fx.joined_tokens("tokens"))
 
 
@@ -299,7 +306,7 @@ def trigrams(spark, sf_dir):
     "SELECT term, sum(tf)::BIGINT AS n, count(*) AS df FROM grams_tf GROUP BY term"
 ))
 def char_ngrams(spark, sf_dir):
-    counts = terms.char_gram_counts(fx.noisy_tweets(spark, sf_dir), "doc_id", F.col("text"))
+    counts = char_term_counts(spark, sf_dir)
     return counts.groupBy("term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
 
 
@@ -326,7 +333,7 @@ _WORD_LINE_SQL = (
 def lexicon_scan(spark, sf_dir):
     """Word lists written from the labelled documents, with comments, blanks and padding, read back."""
     docs = fx.table(spark, sf_dir, "documents").join(fx.table(spark, sf_dir, "labels"), "doc_id")
-    words = docs.select("quality", F.explode(tx.space_words(F.col("text"))).alias("w"))
+    words = element_rows(docs, ["quality"], tx.space_words(F.col("text")), "w")
     line = F.when(F.col("w").startswith("d"), F.concat(F.lit("; "), "w")).otherwise(
         F.when(F.length("w") % 2 == 0, F.concat(F.lit("  "), "w", F.lit(" "))).otherwise(F.col("w"))
     )
@@ -353,8 +360,8 @@ SELECT b.doc_id, coalesce(sum(is_pos), 0)::INT AS pos_hits, coalesce(sum(1 - is_
 FROM base_rows b LEFT JOIN lex ON word = tok GROUP BY b.doc_id""")
 def lexicon_join_hits(spark, sf_dir):
     """A lexicon as large as the vocabulary: words of even length are positive, odd ones negative."""
-    rows = fx.tokenized(spark, sf_dir).select("doc_id", "tokens")
-    words = vocabulary.word_counts(rows, "tokens").where(F.length("word") > 3)
+    rows = fx.tokenized(spark, sf_dir)
+    words = corpus_words(rows).where(F.length("word") > 3)
     even = F.length("word") % 2 == 0
     lexicon = words.select("word", F.when(even, "pos").otherwise("neg").alias("polarity"))
     return lx.join_hits(rows, "doc_id", "tokens", lexicon).select("doc_id", "pos_hits", "neg_hits")
@@ -371,12 +378,13 @@ def lexicon_tokens(spark, sf_dir):
 
 
 def word_term_counts(spark, sf_dir) -> DataFrame:
-    rows = fx.processed(spark, sf_dir, lowercase_first=True)
+    rows = fx.processed_by_id(spark, sf_dir, lowercase_first=True)
     return terms.term_counts(rows, "doc_id", "tokens")
 
 
 def char_term_counts(spark, sf_dir) -> DataFrame:
-    return terms.char_gram_counts(fx.noisy_tweets(spark, sf_dir), "doc_id", F.col("text"))
+    docs = laid_out(fx.noisy_tweets(spark, sf_dir), "doc_id")
+    return terms.char_gram_counts(docs, "doc_id", F.col("text"))
 
 
 @query("term_counts", q.with_(*q.TERM_CTES) + "SELECT doc_id, term, tf FROM terms")

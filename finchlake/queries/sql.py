@@ -40,7 +40,7 @@ LABELLED = (
 def nfkc(e: str) -> str:
     """Compatibility forms that occur in the texts: full-width letters, a ligature, an ellipsis."""
     e = f"nfc_normalize({e})"
-    for old, new in [("Ｆ", "F"), ("ｕ", "u"), ("ｌ", "l"), ("ﬁ", "fi"), ("…", "...")]:
+    for old, new in [("Ｆ", "F"), ("ｆ", "f"), ("ｕ", "u"), ("ｌ", "l"), ("ﬁ", "fi"), ("…", "...")]:
         e = f"replace({e}, '{old}', '{new}')"
     return e
 
