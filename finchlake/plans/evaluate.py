@@ -11,21 +11,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finchlake.operators import metrics, ordinal
-from finchlake.plans.model import HASH_SIZE, fitted_stages, score, text_stages
+from finchlake.plans.model import (
+    HASH_SIZE, fitted_stages, score, text_features, text_stages, train,
+)
 from finchlake.session import written
 from finchlake.sources.labelled import write_error_log
 
 
 def holdout(
-    labelled: DataFrame, key: str, estimator: Pipeline, share: float = 0.8
+    labelled: DataFrame, key: str, share: float = 0.8, **options
 ) -> tuple[PipelineModel, DataFrame]:
     """Fit on the first ``share`` of the rows in key order, predict the rest.
 
-    Returns the model and the predictions (id, fold, true, pred).
+    ``options`` go to :func:`finchlake.plans.model.train`. Returns the model and the predictions
+    (id, fold, true, pred).
     """
     placed, total = ordinal.ordinal(labelled, key)
     first = ordinal.is_train(total, share)
-    model = estimator.fit(placed.where(first))
+    model = train(placed.where(first), **options)
     scored = score(model, placed.where(~first).select(key, "label", "text"))
     return model, scored.select(
         F.col(key).alias("id"), F.lit(0).alias("fold"), F.col("label").alias("true"), "pred"
@@ -54,11 +57,8 @@ def cross_validate(
     placed, total = ordinal.ordinal(labelled, key)
     fold = ordinal.fold_id(total, folds, legacy_tail=legacy_tail)
     rows = placed.withColumn("fold", fold)
-    stages = PipelineModel(text_stages(architecture, lexicon, encoder, hash_size))
-    dense = ["embedding"] if architecture == "BERTweet" else ["word_tf"]
-    features = written(
-        stages.transform(rows).select(key, "fold", "label", "text", *dense, "char_tf"), "features"
-    )
+    stages = text_stages(architecture, lexicon, encoder, hash_size)
+    features = text_features(rows, [key, "fold", "label", "text"], stages, architecture)
     tested = total - 1 if legacy_tail else total
     fold_ids = range(-(-tested // ordinal.fold_width(total, folds)))
 

@@ -500,13 +500,13 @@ def holdout_split(spark, sf_dir):
 
 @query("kfold_assign", q.with_(q.NOISY, q.LABELLED, q.placed("placed", "labelled")) + (
     f"SELECT doc_id, (ord // (total // {fx.FOLDS} + 1))::INT AS fold, "
-    f"CASE WHEN ord < total - 1 THEN (ord // (total // {fx.FOLDS} + 1))::INT END AS legacy_fold FROM placed"
+    f"CASE WHEN ord < total - 1 THEN (ord // (total // {fx.FOLDS} + 1))::INT ELSE -1 END AS legacy_fold FROM placed"
 ))
 def kfold_assign(spark, sf_dir):
     rows, total = ordinal.ordinal(fx.noisy_labelled(spark, sf_dir).select("doc_id"), "doc_id")
     return rows.select(
         "doc_id", ordinal.fold_id(total, fx.FOLDS).alias("fold"),
-        ordinal.fold_id(total, fx.FOLDS, legacy_tail=True).alias("legacy_fold"),
+        F.coalesce(ordinal.fold_id(total, fx.FOLDS, legacy_tail=True), F.lit(-1)).alias("legacy_fold"),
     )
 
 
@@ -530,7 +530,7 @@ def train_rows(spark, sf_dir):
 # ---------------------------------------------------------------- evaluation
 
 @query("outcomes", q.with_(*q.RULE) + (
-    "SELECT id, fold::INT AS fold, true, pred, CASE WHEN true = pred THEN 'T' ELSE 'F' END || "
+    "SELECT id, fold::INT AS fold, \"true\", pred, CASE WHEN \"true\" = pred THEN 'T' ELSE 'F' END || "
     "CASE pred WHEN 'positive' THEN 'P' ELSE 'N' END AS outcome FROM rule"
 ))
 def outcomes(spark, sf_dir):
@@ -538,7 +538,7 @@ def outcomes(spark, sf_dir):
 
 
 @query("outcome_summary", q.with_(*q.RULE) + (
-    "SELECT fold::INT AS fold, CASE WHEN true = pred THEN 'T' ELSE 'F' END || CASE pred WHEN 'positive' THEN 'P' "
+    "SELECT fold::INT AS fold, CASE WHEN \"true\" = pred THEN 'T' ELSE 'F' END || CASE pred WHEN 'positive' THEN 'P' "
     "ELSE 'N' END AS outcome, count(*) AS n, min(id) AS first_id, max(id) AS last_id FROM rule GROUP BY ALL"
 ))
 def outcome_summary(spark, sf_dir):
@@ -546,8 +546,8 @@ def outcome_summary(spark, sf_dir):
 
 
 @query("fold_error_log", q.with_(*q.RULE) + (
-    "SELECT fold::INT AS fold, CASE WHEN true = pred THEN 'T' ELSE 'F' END || CASE pred WHEN 'positive' THEN 'P' "
-    "ELSE 'N' END AS outcome, id, true, pred, text FROM rule"
+    "SELECT fold::INT AS fold, CASE WHEN \"true\" = pred THEN 'T' ELSE 'F' END || CASE pred WHEN 'positive' THEN 'P' "
+    "ELSE 'N' END AS outcome, id, \"true\", pred, text FROM rule"
 ))
 def fold_error_log(spark, sf_dir):
     path = fresh_path(spark, "error-log")
@@ -557,8 +557,8 @@ def fold_error_log(spark, sf_dir):
 
 @query("confusion", q.with_(*q.RULE) + """,
 names(label, pos) AS (VALUES ('positive', 0), ('negative', 1))
-SELECT t.pos::INT AS true_pos, p.pos::INT AS pred_pos, t.label AS true, p.label AS pred, count(r.id) AS n
-FROM names t CROSS JOIN names p LEFT JOIN rule r ON r.true = t.label AND r.pred = p.label GROUP BY ALL""")
+SELECT t.pos::INT AS true_pos, p.pos::INT AS pred_pos, t.label AS "true", p.label AS pred, count(r.id) AS n
+FROM names t CROSS JOIN names p LEFT JOIN rule r ON r."true" = t.label AND r.pred = p.label GROUP BY ALL""")
 def confusion(spark, sf_dir):
     return metrics.confusion(fx.rule_predictions(spark, sf_dir), ["positive", "negative"])
 
@@ -574,7 +574,7 @@ def weighted_prf(spark, sf_dir):
 
 @query("fold_mean", q.with_(*q.RULE, q.PRF) + (
     "SELECT round(avg(precision), 6) AS precision, round(avg(recall), 6) AS recall, round(avg(f1), 6) AS f1, "
-    "true AS support_undefined FROM prf"
+    "(1 = 1) AS support_undefined FROM prf"
 ))
 def fold_mean(spark, sf_dir):
     mean = metrics.fold_mean(metrics.weighted_prf(fx.rule_predictions(spark, sf_dir)))
@@ -609,8 +609,8 @@ def embed_batch(spark, sf_dir):
 
 def _fitted(spark, sf_dir, architecture: str):
     encoder = hashed_projection(64) if architecture == "BERTweet" else None
-    estimator = model.classifier(architecture, fx.LEXICON, encoder, max_iter=10)
-    return estimator.fit(fx.noisy_labelled(spark, sf_dir))
+    rows = fx.noisy_labelled(spark, sf_dir)
+    return model.train(rows, architecture, fx.LEXICON, encoder, max_iter=10)
 
 
 @query("svm_base")
@@ -633,8 +633,8 @@ def score_texts(spark, sf_dir):
 
 @query("holdout_eval")
 def holdout_eval(spark, sf_dir):
-    estimator = model.classifier("base", fx.LEXICON, max_iter=10)
-    predictions = evaluate.holdout(fx.noisy_labelled(spark, sf_dir), "doc_id", estimator)[1]
+    rows = fx.noisy_labelled(spark, sf_dir)
+    predictions = evaluate.holdout(rows, "doc_id", lexicon=fx.LEXICON, max_iter=10)[1]
     return metrics.weighted_prf(predictions).select("precision", "recall", "f1")
 
 

@@ -251,17 +251,17 @@ def placed(name: str, source: str) -> str:
 
 
 PREDICTIONS = (
-    f"rule AS (SELECT p.doc_id AS id, p.ord // (p.total // {FOLDS} + 1) AS fold, p.label AS true, "
+    f"rule AS (SELECT p.doc_id AS id, p.ord // (p.total // {FOLDS} + 1) AS fold, p.label AS \"true\", "
     f"CASE WHEN {hits('b.toks', 'pos')} >= {hits('b.toks', 'neg')} THEN 'positive' ELSE 'negative' END "
     "AS pred, p.text FROM placed p JOIN base b ON b.doc_id = p.doc_id)"
 )
 RULE = [*PRE, LABELLED, placed("placed", "labelled"), PREDICTIONS]
 
 PRF = (
-    "names AS (SELECT DISTINCT fold, true AS label FROM rule UNION SELECT DISTINCT fold, pred FROM rule),\n"
-    "per_label AS (SELECT n.fold, n.label, count(*) FILTER (r.true = n.label) AS support, "
+    "names AS (SELECT DISTINCT fold, \"true\" AS label FROM rule UNION SELECT DISTINCT fold, pred FROM rule),\n"
+    "per_label AS (SELECT n.fold, n.label, count(*) FILTER (r.\"true\" = n.label) AS support, "
     "count(*) FILTER (r.pred = n.label) AS predicted, "
-    "count(*) FILTER (r.true = n.label AND r.pred = n.label) AS ok "
+    "count(*) FILTER (r.\"true\" = n.label AND r.pred = n.label) AS ok "
     "FROM names n JOIN rule r ON r.fold = n.fold GROUP BY ALL),\n"
     "pr AS (SELECT *, CASE WHEN predicted > 0 THEN ok / predicted ELSE 0 END AS p, "
     "CASE WHEN support > 0 THEN ok / support ELSE 0 END AS r FROM per_label),\n"
