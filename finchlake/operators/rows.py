@@ -17,6 +17,16 @@ def laid_out(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(partitions, key)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A plain table scan, spread over all cores if its files give fewer splits than there are cores.
+
+    Cleaning and tokenizing cost far more CPU per byte than an exchange, so a few large row groups
+    would leave most of a cluster idle. A scan with enough splits is left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def element_rows(df: DataFrame, keep: list[str], array: str | Column, into: str) -> DataFrame:
     """One row per element of ``array``.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from finchlake.functions import tokens as tk
 from finchlake.operators import ordinal
 from finchlake.operators.lexicon import with_hits
-from finchlake.operators.rows import laid_out
+from finchlake.operators.rows import laid_out, spread
 from finchlake.plans.preprocess import pre_process
 
 # Endings that bring URLs, hashtags, slang, emoji and so on into the texts, by doc_id modulo 8.
@@ -33,11 +33,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def noisy_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, text: every whole document with its suffix."""
+def _with_suffix(docs: DataFrame) -> DataFrame:
     endings = F.array(*[F.lit(s) for s in SUFFIXES])
     ending = F.get(endings, (F.col("doc_id") % len(SUFFIXES)).cast("int"))
-    return table(spark, sf_dir, "documents").select("doc_id", F.concat("text", ending).alias("text"))
+    return docs.select("doc_id", F.concat("text", ending).alias("text"))
+
+
+def noisy_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, text: every whole document with its suffix."""
+    return _with_suffix(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def noisy_tweets_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same laid out by doc_id, for queries that explode and regroup."""
+    return _with_suffix(laid_out(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id"))
 
 
 def noisy_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,9 +71,8 @@ def processed(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
 
 
 def processed_by_id(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    """The same, laid out by doc_id before any work, for queries that explode and regroup."""
-    docs = laid_out(noisy_tweets(spark, sf_dir), "doc_id")
-    return pre_process(docs, "doc_id", "text", LEXICON, **options)
+    """The same, laid out by doc_id before any work."""
+    return pre_process(noisy_tweets_by_id(spark, sf_dir), "doc_id", "text", LEXICON, **options)
 
 
 def tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:

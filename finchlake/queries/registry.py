@@ -15,11 +15,10 @@ from finchlake.constants import DETACHMENT_RULES, STOPWORDS, NEGATIONS
 from finchlake.functions import text as tx
 from finchlake.functions import tokens as tk
 from finchlake.functions import unicode as un
-from finchlake.functions.patterns import SPACE
 from finchlake.operators import lexicon as lx
 from finchlake.operators import metrics, ordinal, terms, vocabulary
 from finchlake.operators.lookup import substitute_tokens
-from finchlake.operators.rows import element_rows, laid_out
+from finchlake.operators.rows import element_rows
 from finchlake.plans import evaluate, model, preprocess
 from finchlake.plans.features import embed, hashed_projection
 from finchlake.queries import fixtures as fx
@@ -383,7 +382,7 @@ def word_term_counts(spark, sf_dir) -> DataFrame:
 
 
 def char_term_counts(spark, sf_dir) -> DataFrame:
-    docs = laid_out(fx.noisy_tweets(spark, sf_dir), "doc_id")
+    docs = fx.noisy_tweets_by_id(spark, sf_dir)
     return terms.char_gram_counts(docs, "doc_id", F.col("text"))
 
 
