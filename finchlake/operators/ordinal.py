@@ -6,8 +6,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4096
+ROWS_PER_BUCKET = 100_000
+MAX_BUCKETS = 20_000
 
 
 def ordinal(df: DataFrame, key: str, into: str = "ord", buckets: int | None = None) -> tuple[DataFrame, int]:
@@ -21,7 +21,8 @@ def ordinal(df: DataFrame, key: str, into: str = "ord", buckets: int | None = No
     keys = df.select(F.col(key).cast("double").alias("_k"))
     total = df.count()
     if buckets is None:
-        buckets = min(MAX_BUCKETS, max(1, -(-total // ROWS_PER_BUCKET)))
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = min(MAX_BUCKETS, max(tasks, -(-total // ROWS_PER_BUCKET)))
     cuts: list[float] = []
     if buckets > 1 and total > 1:
         shares = [i / buckets for i in range(1, buckets)]
@@ -42,7 +43,8 @@ def ordinal(df: DataFrame, key: str, into: str = "ord", buckets: int | None = No
     for b in range(len(cuts) + 1):
         starts.append(run)
         run += sizes.get(b, 0)
-    offset = F.get(F.array(*[F.lit(s).cast("long") for s in starts]), F.col("_b"))
+    shifts = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<long>")
+    offset = F.get(shifts, F.col("_b"))
     within = F.row_number().over(Window.partitionBy("_b").orderBy(key)) - 1
     return bucketed(df).withColumn(into, offset + within).drop("_b"), total
 

@@ -10,7 +10,7 @@ from finchlake.functions import tokens as tk
 from finchlake.functions import unicode as un
 from finchlake.operators.lexicon import with_hits
 from finchlake.operators.lookup import keyed_lookup
-from finchlake.operators.rows import collected, exploded
+from finchlake.operators.rows import collected, exploded, laid_out
 
 
 def light_clean(col: Column) -> Column:
@@ -57,6 +57,7 @@ def pre_process(
     lemmas: DataFrame | None = None,
     tags: Column | None = None,
     lowercase_first: bool = False,
+    lay_out: bool = False,
     into: str = "tokens",
 ) -> DataFrame:
     """Add the token array of the full pre-processing.
@@ -65,9 +66,14 @@ def pre_process(
     sentence-length tokens of the uncleaned text. ``lowercase_first`` lowers the text before anything
     else, as the word vectorizer does, so that hashtags in CamelCase stay one word. Without a lemma
     table and with a small lexicon the plan is a single narrow projection.
+
+    ``lay_out`` partitions the rows by ``key`` once they are clean, for callers that explode the tokens
+    and group by document: the Python step of the cleaning would not keep an earlier layout.
     """
     source = F.lower(tx.as_text(F.col(text))) if lowercase_first else F.col(text)
     out = df.withColumn("_clean", clean_text(source, hashtag_mode, remove_punctuation))
+    if lay_out:
+        out = laid_out(out, key)
     out = out.withColumn(into, tk.tweet_tokens(F.col("_clean"), folded=True)).drop("_clean")
     if lemmas is not None:
         out = lemmatize(out, key, into, lemmas, tags)

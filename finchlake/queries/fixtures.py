@@ -71,8 +71,8 @@ def processed(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
 
 
 def processed_by_id(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    """The same, laid out by doc_id before any work."""
-    return pre_process(noisy_tweets_by_id(spark, sf_dir), "doc_id", "text", LEXICON, **options)
+    """The same, laid out by doc_id before tokenizing, for queries that explode and regroup."""
+    return processed(spark, sf_dir, lay_out=True, **options)
 
 
 def tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
