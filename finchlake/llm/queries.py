@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finchlake.llm.common import text_or_empty
+from finchlake.llm.frames import read_token_frames, write_token_frames
 from finchlake.llm.hypershuffle import hypergeometric_shuffle
+from finchlake.llm.line_runs import drop_repeated_lines
+from finchlake.llm.mixture import Mixture, words
+from finchlake.llm.packing import place, token_pieces
+from finchlake.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +34,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op2_token_frames")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    manifest = write_token_frames(docs, "doc_id", "text", tokenizer_path("byte_bpe_50k.json"), end_id=2)
+    return read_token_frames(manifest, "doc_id").select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 @query("op3_hypergeometric_shuffle")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -38,3 +59,48 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32(F.encode(text_or_empty("text"), "UTF-8")).alias("text_crc32"), F.lit("rows").alias("law"),
         F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+OP7_SQL = r"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         unnest(range(len(string_split(text, chr(10))))) AS pos FROM texts
+),
+keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines
+),
+frequent AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= 10),
+marked AS (SELECT keyed.*, k IN (SELECT k FROM frequent) AS gone FROM keyed)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@query("op7_line_runs", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return drop_repeated_lines(docs, "text", limit=10).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+@query("op8_mixture")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = table(spark, sf_dir, "documents").select("doc_id", "source", words(F.col("text")).alias("n_words"))
+    mix = Mixture(written(sizes, "sizes"), "doc_id", "source", F.col("n_words"))
+    return mix.usage().select("doc_id", "size", "source_size", "target", "taken")
+
+
+CAPACITY = 2048
+
+
+@query("op9_histogram_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = token_pieces(docs, "doc_id", "text", tokenizer_path("word_bpe_49k.json"), 0, CAPACITY)
+    digests = written(pieces.drop("ids").withColumnRenamed("key", "doc_id"), "pieces")
+    placed = place(digests, "length", CAPACITY, ["doc_id", "piece", "ids_crc32"])
+    return placed.select(
+        "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
