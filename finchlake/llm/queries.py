@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from finchlake.llm.common import text_or_empty
 from finchlake.llm.frames import read_token_frames, write_token_frames
 from finchlake.llm.hypershuffle import hypergeometric_shuffle
+from finchlake.llm.layout_text import with_layout_text
 from finchlake.llm.line_runs import drop_repeated_lines
 from finchlake.llm.mixture import Mixture, words
+from finchlake.llm.order_minhash import order_minhash
 from finchlake.llm.packing import place, token_pieces
+from finchlake.llm.topk_search import quantized, top_k
 from finchlake.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +64,34 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_layout_text")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return with_layout_text(pages, "html").select("page_id", "url", "text")
+
+
+OP6_SQL = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+long AS (SELECT vec_id, unnest(v) AS w, unnest(range(len(v))) AS t FROM usable),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.w * c.w) AS BIGINT) AS score
+  FROM long q JOIN long c ON q.t = c.t AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY ALL
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+
+@query("op6_exact_top_k", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", quantized(F.col("embedding")).alias("v"))
+    return top_k(vectors, "vec_id", "v", F.col("vec_id") % 50 == 0, k=5)
+
+
 OP7_SQL = r"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 lines AS (
@@ -104,3 +135,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = place(digests, "length", CAPACITY, ["doc_id", "piece", "ids_crc32"])
     return placed.select(
         "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
+
+
+@query("op10_order_minhash")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return order_minhash(docs, "doc_id", "text")
