@@ -15,6 +15,7 @@ from finchlake.llm.line_runs import drop_repeated_lines
 from finchlake.llm.mixture import Mixture, words
 from finchlake.llm.order_minhash import order_minhash
 from finchlake.llm.packing import place, token_pieces
+from finchlake.llm.probminhash import near_duplicate_classes
 from finchlake.llm.topk_search import quantized, top_k
 from finchlake.session import written
 
@@ -70,6 +71,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_layout_text(pages, "html").select("page_id", "url", "text")
 
 
+@query("op5_prob_minhash")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+
+
 OP6_SQL = """
 WITH usable AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
