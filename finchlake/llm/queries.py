@@ -17,6 +17,7 @@ from finchlake.llm.order_minhash import order_minhash
 from finchlake.llm.packing import place, token_pieces
 from finchlake.llm.probminhash import near_duplicate_classes
 from finchlake.llm.topk_search import quantized, top_k
+from finchlake.llm.toxicity import fit_detector, with_toxicity
 from finchlake.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +45,15 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_deobfuscated_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 3 == 1
+    detector = fit_detector(docs, "doc_id", "text", labels, "toxic", may_train=~held_out)
+    return with_toxicity(docs, "text", detector).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 @query("op2_token_frames")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
