@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from finchlake.llm.common import text_or_empty
 from finchlake.llm.frames import read_token_frames, write_token_frames
 from finchlake.llm.hypershuffle import hypergeometric_shuffle
@@ -157,3 +158,6 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return order_minhash(docs, "doc_id", "text")
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
