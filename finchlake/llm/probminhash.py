@@ -8,8 +8,10 @@ are banded into bucket keys; texts that share a bucket are compared exactly.
 
 Exact copies are one node. In a bucket, texts are compared with its most central one, that which lies in
 the largest buckets, not with each other; where a bucket still holds several components after that, the
-texts of the smaller ones are compared with all texts of other components. So every link between texts
-that share a bucket counts, and a large group of copies costs one comparison each.
+texts of the smaller ones are held against all texts of other components. Of these pairs, only those are
+compared exactly whose sketches, four bits of each register, leave a similarity of SIMILAR possible at
+SURE standard deviations. So a large group of copies costs one comparison each, and links beside its
+centre still count.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StructType
 
@@ -31,7 +33,9 @@ WORDS = 5
 SIMILAR = 0.8
 BANDS = 30
 ROWS = 6
-REGISTERS = BANDS * ROWS
+REGISTERS = 512                  # the first BANDS * ROWS are banded, the sketch holds all
+SKETCH = REGISTERS // 16         # longs of 16 registers, four bits each
+SURE = 3.5
 CHUNK_BYTES = 2_000_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 STEP = np.uint64(0xD1342543DE82EF95)
@@ -105,13 +109,37 @@ def prob_minhash(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: in
 
 def band_keys(registers: np.ndarray) -> np.ndarray:
     """BANDS bucket keys of each row; the number of the band is part of the key."""
-    bands = registers.reshape(len(registers), BANDS, ROWS)
+    bands = registers[:, :BANDS * ROWS].reshape(len(registers), BANDS, ROWS)
     key = np.arange(1, BANDS + 1, dtype=np.uint64)[None, :] * STEP + np.zeros((len(registers), 1), np.uint64)
     for j in range(ROWS):
         key = mixed(key * ODD + bands[:, :, j])
     return key.view(np.int64)
 
 
+def sketches(registers: np.ndarray) -> np.ndarray:
+    """Four bits of each register, sixteen to a long; unequal registers differ in them 15 times of 16."""
+    bits = mixed(registers + STEP) & np.uint64(15)
+    shifted = bits.reshape(len(registers), SKETCH, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))
+    return np.bitwise_or.reduce(shifted, axis=2).view(np.int64)
+
+
+def differing(x: str, y: str) -> Column:
+    """The number of registers whose four bits differ, from two columns of sketches."""
+    total = None
+    for i in range(SKETCH):
+        z = F.get(F.col(x), i).bitwiseXOR(F.get(F.col(y), i))
+        z = z.bitwiseOR(F.shiftrightunsigned(z, 1))
+        z = z.bitwiseOR(F.shiftrightunsigned(z, 2)).bitwiseAND(F.lit(0x1111111111111111))
+        total = F.bit_count(z) if total is None else total + F.bit_count(z)
+    return total
+
+
+def most_differing(least: float) -> int:
+    """The count of differing registers that a pair of similarity ``least`` passes only beyond SURE deviations."""
+    p = (1 - least) * 15 / 16
+    return int(REGISTERS * p + SURE * (REGISTERS * p * (1 - p)) ** 0.5)
+
+
 def slices(texts: pd.Series) -> Iterator[list[str]]:
     part, size = [], 0
     for t in texts:
@@ -124,16 +152,19 @@ def slices(texts: pd.Series) -> Iterator[list[str]]:
         yield part
 
 
-@F.pandas_udf(ArrayType(LongType()))
-def bucket_keys(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+LONGS = ArrayType(LongType())
+
+
+@F.pandas_udf(StructType().add("buckets", LONGS).add("sketch", LONGS))
+def signatures(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for batch in texts:
-        out: list = []
+        rows: list = []
         for part in slices(batch):
             doc, shingle, weight = weighted_shingles(part)
-            keys = band_keys(prob_minhash(doc, shingle, weight, len(part)))
+            registers = prob_minhash(doc, shingle, weight, len(part))
             some = np.isin(np.arange(len(part)), doc)
-            out.extend(k if s else None for k, s in zip(keys, some))
-        yield pd.Series(out, dtype=object)
+            rows.extend((k, b) if s else (None, None) for k, b, s in zip(band_keys(registers), sketches(registers), some))
+        yield pd.DataFrame(rows, columns=["buckets", "sketch"])
 
 
 @F.pandas_udf(StructType().add("shingles", BinaryType()).add("weights", BinaryType()))
@@ -189,9 +220,11 @@ def text_node(text: str):
 def _classes(df: DataFrame, key: str, text: str, least: float) -> tuple[DataFrame, DataFrame]:
     """key, node of every row; node, class_id, class_size, chosen (key and node of one row) of every text."""
     signed = written(df.select(
-        column(key).alias("key"), text_node(text).alias("node"), bucket_keys(text_or_empty(text)).alias("buckets"),
-    ), "signatures")
-    nodes = signed.groupBy("node").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("n"), F.first("buckets").alias("buckets"))
+        column(key).alias("key"), text_node(text).alias("node"), signatures(text_or_empty(text)).alias("s"),
+    ).select("key", "node", "s.buckets", "s.sketch"), "signatures")
+    nodes = signed.groupBy("node").agg(
+        F.min("key").alias("key"), F.count(F.lit(1)).alias("n"), F.first("buckets").alias("buckets"),
+        F.first("sketch").alias("sketch"))
     placed = nodes.select("node", F.explode("buckets").alias("bucket"))
     sizes = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
     crowded = written(placed.join(sizes, "bucket"), "crowded")
@@ -210,7 +243,7 @@ def _classes(df: DataFrame, key: str, text: str, least: float) -> tuple[DataFram
 
     links = written(verified(pairs, sets, least), "near-links")
     labels = component_labels(links)
-    rest = verified(_cross_pairs(crowded, labels), sets, least)
+    rest = verified(_cross_pairs(crowded, labels, nodes.select("node", "sketch", "buckets"), least), sets, least)
     more = written(rest, "near-links")
     if not more.isEmpty():
         labels = component_labels(links.union(more))
@@ -237,21 +270,27 @@ def near_duplicate_classes(df: DataFrame, key: str, text: str, least: float = SI
     return rows.join(of_node, "node").select(F.col("key").alias(key), "class_id", "class_size")
 
 
-def _cross_pairs(crowded: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different components that share a bucket, except those within a bucket's largest one."""
+def _cross_pairs(crowded: DataFrame, labels: DataFrame, sketched: DataFrame, least: float) -> DataFrame:
+    """Pairs of different components that share a bucket and may be similar by their sketches.
+
+    One of the two lies outside the bucket's largest component, whose texts need not meet each other.
+    """
     labelled = crowded.select("bucket", "node").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
     mixed_ones = labelled.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).where(
         F.col("a") != F.col("b")).select("bucket")
-    members = written(labelled.join(mixed_ones, "bucket"), "mixed-buckets")
+    members = written(labelled.join(mixed_ones, "bucket").join(sketched, "node"), "mixed-buckets")
     largest = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
         F.max(F.struct("n", "label")).getField("label").alias("largest"))
     marked = members.join(largest, "bucket")
-    small = marked.where(F.col("label") != F.col("largest")).select("bucket", F.col("node").alias("x"), F.col("label").alias("lx"))
-    every = marked.select("bucket", F.col("node").alias("y"), F.col("label").alias("ly"), "largest")
-    # The largest component may be huge: of its texts in the bucket each small one meets all.
-    met = small.join(every, "bucket").where(
-        (F.col("lx") != F.col("ly")) & ((F.col("ly") == F.col("largest")) | (F.col("x") < F.col("y"))))
+    small = marked.where(F.col("label") != F.col("largest")).select(
+        F.col("bucket").alias("b"), F.col("node").alias("x"), F.col("label").alias("lx"), F.col("sketch").alias("sx"),
+        F.col("buckets").alias("bx"))
+    every = marked.select("bucket", F.col("node").alias("y"), F.col("label").alias("ly"), F.col("sketch").alias("sy"),
+                          F.col("buckets").alias("by"), "largest")
+    met = small.join(every, (F.col("b") == F.col("bucket")) & (F.col("lx") != F.col("ly")) & (
+        (F.col("ly") == F.col("largest")) | (F.col("x") < F.col("y"))) & (differing("sx", "sy") <= most_differing(least)) & (
+        F.array_min(F.array_intersect("bx", "by")) == F.col("b")))  # once, not in every bucket they share
     return met.select("x", "y").distinct()
 
 
