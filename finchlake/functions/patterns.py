@@ -2,7 +2,7 @@
 
 ``\\w``, ``\\d`` and ``\\s`` are ASCII-only in Java, so the Unicode classes are spelled out. Patterns
 avoid alternation under an unbounded quantifier, which Java evaluates recursively and which would
-overflow the stack on a very long run of characters.
+overflow the stack on a very long run of characters; possessive groups are repeated in a loop instead.
 """
 
 from __future__ import annotations
@@ -30,9 +30,9 @@ _TW_L = f"[{_TW_LETTER_SET}]"
 _URL_CHAR = rf"[^{SPACE_SET}()<>{{}}\[\]]"
 _URL_LAST = rf"[^{SPACE_SET}`!()\[\]{{}};:'\".,<>?«»“”‘’]"
 _URL_PAREN = rf"\([^{SPACE_SET}()]*\)"
-_URL_BODY = (
-    rf"(?:{_URL_CHAR}+|{_URL_PAREN})(?:{_URL_PAREN}{_URL_CHAR}*){{0,50}}(?:{_URL_PAREN}|{_URL_LAST})"
-)
+_URL_INNER = r"[`!;:'\".,?«»“”‘’]"  # may stand within a URL, but not end it
+# A first unit, then turns that each end where a URL may end, without a limit on their number.
+_URL_BODY = rf"(?:{_URL_CHAR}|{_URL_PAREN})(?:{_URL_INNER}*+(?:{_URL_PAREN}|{_URL_LAST}))++"
 EMOTICON = (
     r"(?:[<>]?[:;=8][\-o*']?[)\](\[dDpP/:}{@|\\]"
     r"|[)\](\[dDpP/:}{@|\\][\-o*']?[:;=8][<>]?"
@@ -41,7 +41,7 @@ EMOTICON = (
 _TONE = r"[\x{1f3fb}-\x{1f3ff}]"
 TWEET_TOKEN_CLASSES = {
     "url": rf"(?:https?:(?:/{{1,3}}|[a-z0-9%])|[a-z0-9.\-]+[.][a-z]{{2,13}}/){_URL_BODY}",
-    "domain": rf"[a-z0-9]+(?:[.\-][a-z0-9]+){{0,126}}[.][a-z]{{2,13}}(?!{_TW_W})/?(?!@)",
+    "domain": rf"[a-z0-9](?:(?![.\-]{{2}})[a-z0-9.\-])*[.][a-z]{{2,13}}(?!{_TW_W})/?(?!@)",
     "phone": rf"(?:\+?[01][ *\-.)]*)?(?:\(?{DIGIT}{{3}}[ *\-.)]*)?{DIGIT}{{3}}[ *\-.)]*{DIGIT}{{4}}",
     "emoticon": EMOTICON,
     "tag": rf"<[^>{SPACE_SET}]+>",
@@ -51,9 +51,9 @@ TWEET_TOKEN_CLASSES = {
     "email": (
         rf"[{_TW_WORD_SET}.+\-]+@[{_TW_WORD_SET}\-]+\."
         rf"(?:[{_TW_WORD_SET}\-]{{2,}}|[{_TW_WORD_SET}\-]\.[{_TW_WORD_SET}\-]+)"
-        rf"(?:\.[{_TW_WORD_SET}\-]+){{0,126}}"
+        rf"(?:\.[{_TW_WORD_SET}\-]++)*+"
     ),
-    "emoji": rf".(?:{_TONE}?(?:\x{{200d}}.{_TONE}?){{1,20}}|{_TONE})",
+    "emoji": rf".(?:{_TONE}?(?:\x{{200d}}.{_TONE}?)++|{_TONE})",
     "flag": r"[\x{1f1e6}-\x{1f1ff}]{2}",
     "word": rf"{_TW_L}[{_TW_LETTER_SET}'\-_]+{_TW_L}",
     "number": rf"[+\-]?{DIGIT}+[,/.:\-]{DIGIT}+[+\-]?",

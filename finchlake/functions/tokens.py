@@ -14,7 +14,8 @@ from finchlake.constants import (
 from finchlake.functions.patterns import (
     EMOTICON, NOT_SPACE, SPACE, SPACE_SET, TWEET_TOKEN, WORD, alternation,
 )
-from finchlake.functions.text import bind, literal_map, rewrite_matches, space_words
+from finchlake.functions.text import bind, rewrite_matches, space_words
+from finchlake.functions.unicode import code_point, named_value, reference_number
 
 _SEP = "\x01"  # joins tokens that may contain spaces; never part of a token
 
@@ -24,23 +25,19 @@ _SEP = "\x01"  # joins tokens that may contain spaces; never part of a token
 def _tokenizer_entities(col: Column) -> Column:
     """Decode ``&name;`` and ``&#n;`` as the tweet tokenizer does; unknown references vanish."""
     names = {n: chr(p) for n, p in html.entities.name2codepoint.items()}
-    table = literal_map(names)
     cp1252 = F.split(
         F.lit("|".join(bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0))), r"\|"
     )
 
     def decode(ref: Column) -> Column:
-        body = F.regexp_extract(ref, r"^&#?[xX]?(.*);$", 1)
-        is_hex = ref.rlike(r"^&#[xX][0-9a-fA-F]{1,8};$")
-        is_dec = ref.rlike(r"^&#[0-9]{1,9};$")
-        number = F.when(is_hex, F.conv(body, 16, 10).cast("long")).when(is_dec, body.cast("long"))
-        bytes_be = F.unhex(F.lpad(F.hex(number), 8, "0"))
+        numbered = ref.rlike("^&#(?:[xX][0-9a-fA-F]+|[0-9]+);$")
+        number = F.when(numbered, reference_number(ref))
         char = (
             F.when(number.between(0x80, 0x9F), F.get(cp1252, (number - 0x80).cast("int")))
             .when(number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF),
-                  F.decode(bytes_be, "UTF-32"))
+                  code_point(F.when(number <= 0x10FFFF, number)))
         )
-        named = F.try_element_at(table, F.regexp_extract(ref, "^&(.*);$", 1))
+        named = named_value(names, F.regexp_extract(ref, "^&(.*);$", 1))
         return F.coalesce(F.when(ref.startswith("&#"), char).otherwise(named), F.lit(""))
 
     unit = rf"&[^&;{SPACE_SET}]+;"
@@ -95,7 +92,7 @@ def word_tokens(col: Column, merge_contractions: bool = False) -> Column:
     With ``merge_contractions`` words with an inner apostrophe (``'`` or ``’``) stay whole.
     """
     if merge_contractions:
-        pattern = rf"{WORD}+(?:['’]{WORD}+){{0,8}}|{NOT_SPACE}"
+        pattern = rf"{WORD}+(?:['’]{WORD}++)*+|{NOT_SPACE}"
         return F.regexp_extract_all(col, F.lit(pattern), F.lit(0))
     for pattern, replacement in _TREEBANK:
         col = F.regexp_replace(col, pattern, replacement)

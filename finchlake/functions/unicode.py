@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import html
+import html.entities
 import unicodedata
+import zlib
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from finchlake.constants import EMOJI_BLOCKS, EMOJI_CLDR_NAMES, EMOJI_SYMBOLS, SKIN_TONES
 from finchlake.functions.text import bind, rewrite_matches
@@ -26,30 +25,86 @@ _STABLE = (
 MAYBE_UNNORMALISED = f"[^{_STABLE}]"
 
 
-@F.pandas_udf(T.StringType())
-def _nfkc(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
+def normalize_nfkc(col: Column) -> Column:
+    """NFKC form of the text, by the normaliser among Spark's own jars.
 
+    Only texts that hold a character outside the stable ranges are sent through it.
+    """
+    composed = F.reflect(
+        F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), F.coalesce(col, F.lit("")), F.lit(True)
+    )
+    return F.when(col.rlike(MAYBE_UNNORMALISED), composed).otherwise(col)
 
-@F.pandas_udf(T.StringType())
-def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
 
+_BUCKETS = 256
 
-def normalize_nfkc(col: Column) -> Column:
-    """NFKC form of the text.
 
-    Spark has no normaliser, so texts go to Python in Arrow batches, but only those that hold a
-    character outside the stable ranges; for the others the batch carries a null.
-    """
-    suspect = F.when(col.rlike(MAYBE_UNNORMALISED), col)
-    return F.coalesce(_nfkc(suspect), col)
+def _name_buckets(names: dict[str, str]) -> Column:
+    """A table of names as one literal: buckets by CRC-32, each a short string of name and value."""
+    buckets = [""] * _BUCKETS
+    for name, value in names.items():
+        buckets[zlib.crc32(name.encode()) % _BUCKETS] += f"\x02{name}\x03{value}"
+    return F.split(F.lit("\x04".join(buckets)), "\x04")
+
+
+def named_value(names: dict[str, str], name: Column) -> Column:
+    """The value of ``name``, null if it has none; reads one bucket, however large the table."""
+    place = F.pmod(F.crc32(F.encode(name, "UTF-8")), F.lit(_BUCKETS)).cast("int")
+    found = F.struct(F.get(_name_buckets(names), place).alias("bucket"),
+                     F.concat(F.lit("\x02"), name, F.lit("\x03")).alias("sought"))
+    return bind(found, lambda f: F.when(
+        f["bucket"].contains(f["sought"]),
+        F.substring_index(F.substring(
+            f["bucket"], F.position(f["sought"], f["bucket"]) + F.length(f["sought"]), F.length(f["bucket"]),
+        ), "\x02", 1),
+    ))
+
+
+def reference_number(ref: Column, highest_digits: int = 7) -> Column:
+    """The code point of ``&#n;`` or ``&#xn;``, of any number of digits; 0x110000 if it is too large."""
+    is_hex = ref.rlike("^&#[xX]")
+    digits = F.regexp_extract(ref, "^&#[xX]?0*([0-9a-fA-F]*)", 1)
+    short = F.length(digits) <= highest_digits
+    value = F.conv(F.when(digits == "", F.lit("0")).otherwise(digits), 16, 10).cast("long")
+    decimal = F.try_to_number(F.when(digits == "", F.lit("0")).otherwise(digits), F.lit("9999999"))
+    return F.when(~short, F.lit(0x110000)).when(is_hex, value).otherwise(decimal.cast("long"))
+
+
+def code_point(number: Column) -> Column:
+    """The character with this number; ``number`` must be one of a character."""
+    return F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+
+
+CP1252 = [bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0)]
+# Names that also count without a semicolon, the longest first.
+_BARE = sorted((n for n in html.entities.html5 if not n.endswith(";")), key=len, reverse=True)
+_REFERENCE = r"&(?:#[xX][0-9a-fA-F]++;?|#[0-9]++;?|[A-Za-z][A-Za-z0-9]*+;?)"
+
+
+def _decoded(ref: Column) -> Column:
+    number = reference_number(ref)
+    no_character = (
+        number.between(1, 8) | (number == 0xB) | number.between(0xE, 0x1F) | (number == 0x7F)
+        | number.between(0xFDD0, 0xFDEF) | (number.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    )
+    latin = F.split(F.lit("|".join(CP1252)), r"\|")
+    numeric = (
+        F.when(number.between(0x80, 0x9F), F.get(latin, (number - 0x80).cast("int")))
+        .when((number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF), F.lit("\ufffd"))
+        .when(no_character, F.lit(""))
+        .otherwise(code_point(F.when(number <= 0x10FFFF, number)))
+    )
+    name = F.substring(ref, 2, 100_000_000)
+    bare = F.regexp_extract(ref, "^&(" + "|".join(_BARE) + ")", 1)
+    legacy = F.when(bare != "", F.concat(
+        named_value(html.entities.html5, bare), F.substring(ref, F.length(bare) + 2, F.length(ref))))
+    named = F.coalesce(named_value(html.entities.html5, name), legacy, ref)
+    return F.when(ref.startswith("&#"), numeric).otherwise(named)
 
 
 def unescape_html(col: Column) -> Column:
-    """Decode named and numeric character references; only texts with ``&`` go to Python."""
-    suspect = F.when(col.contains("&"), col)
-    return F.coalesce(_unescape(suspect), col)
+    """Decode named and numeric character references as HTML 5 does; texts without ``&`` skip it."""
+    return bind(col, lambda t: F.when(t.contains("&"), rewrite_matches(t, _REFERENCE, _decoded)).otherwise(t))
 
 
 def _code_points(ranges: str):

@@ -1,9 +1,7 @@
 import html
-import random
 import re
 import unicodedata
 
-from finchlake.constants import CONTRACTIONS, SLANG
 from finchlake.functions import text as tx
 from finchlake.functions import unicode as un
 from finchlake.plans.preprocess import clean_text, light_clean
@@ -18,11 +16,11 @@ def test_null_becomes_empty(apply):
 
 
 def test_urls_mentions_digits_punctuation(apply):
-    texts = ["see http://t.co/x?a=1 and www.x.org/y!", "hi @bob_1 @Ünal", "a1٣b", "it's, ok_1 é!"]
-    assert apply(tx.remove_urls, texts)[0] == re.sub(r"http\S+|www\.\S+", " ", texts[0])
-    assert apply(tx.remove_mentions, texts)[1] == re.sub(r"@\w+", " ", texts[1])
-    assert apply(tx.remove_digits, texts)[2] == "ab"
-    assert apply(tx.remove_punctuation, texts)[3] == re.sub(r"[^\w\s]", "", texts[3])
+    assert apply(tx.remove_urls, ["see http://t.co/x?a=1 and www.x.org/y!", "wwwx http", "https"]) == [
+        "see   and  ", "wwwx http", " "]
+    assert apply(tx.remove_mentions, ["hi @bob_1 @Ünal", "a@b.c @ x"]) == ["hi    ", "a .c @ x"]
+    assert apply(tx.remove_digits, ["a1٣b", "2nd"]) == ["ab", "nd"]
+    assert apply(tx.remove_punctuation, ["it's, ok_1 é!", "a-b\tc."]) == ["its ok_1 é", "ab\tc"]
 
 
 def test_hashtags(apply):
@@ -32,36 +30,31 @@ def test_hashtags(apply):
     assert apply(lambda c: tx.hashtags(c, "keep"), texts) == texts
 
 
-def test_contractions_match_one_pass(apply):
-    rng = random.Random(7)
-    parts = list(CONTRACTIONS) + ["n't", "x", " ", "'", "she's he's don't", "CAN'T"]
-    texts = ["".join(rng.choice(parts) for _ in range(8)) for _ in range(60)]
-    pattern = re.compile("|".join(re.escape(k) for k in sorted(CONTRACTIONS, key=len, reverse=True)))
-    assert apply(tx.expand_contractions, texts) == [
-        pattern.sub(lambda m: CONTRACTIONS[m.group(0)], t) for t in texts
-    ]
+def test_contractions_in_one_pass(apply):
+    rows = {
+        "i can't go": "i cannot go", "she's he's": "she is he is", "they're what's": "they are what is",
+        "": "", "don't CAN'T": "do not CAN'T",
+    }
+    assert apply(tx.expand_contractions, list(rows)) == list(rows.values())
 
 
 def test_slang_is_exact_on_words(apply):
-    rng = random.Random(3)
-    words = list(SLANG) + ["lol!", "you", " ", "\n", "x"]
-    texts = [rng.choice([" ", "  ", "\t"]).join(rng.choice(words) for _ in range(9)) for _ in range(40)]
-    assert apply(tx.replace_slang, texts) == [
-        " ".join(SLANG.get(w, w) for w in t.split()) for t in texts
-    ]
+    mapping = {"u": "you", "you": "ye", "gr8": "great"}
+    rows = {"u r gr8": "you r great", "you \t u!": "ye u!", "  u\n\nu ": "you you", "": ""}
+    assert apply(lambda c: tx.replace_slang(c, mapping), list(rows)) == list(rows.values())
 
 
 def test_elongation(apply):
-    texts = ["sooooo  greaaat!!!", "aa\n\n\nbbb", " 😀😀😀😀 "]
-    want = [" ".join(re.sub(r"(.)\1{2,}", r"\1\1", w) for w in t.split()) for t in texts]
-    assert apply(tx.squeeze_elongation, texts) == want
+    rows = {"sooooo  greaaat!!!": "soo greaat!!", "aa\n\n\nbbb": "aa bb", " 😀😀😀😀 ": "😀😀", "aab": "aab"}
+    assert apply(tx.squeeze_elongation, list(rows)) == list(rows.values())
 
 
 def test_nfkc_equals_unicodedata(apply):
-    points = [p for p in range(0x20, 0x30000, 7) if not 0xD800 <= p < 0xE000]
+    points = [p for p in range(0x20, 0x30000, 7) if unicodedata.category(chr(p)) not in ("Cn", "Cs", "Co")]
     texts = ["".join(chr(p) for p in points[i:i + 50]) for i in range(0, len(points), 50)]
-    texts += ["é", "ﬁ … Ｆ", "각", "ㄱㅏ", "plain", "Å", "ｶﾞ", "ſ̣"]
+    texts += ["é", "ﬁ … Ｆ", "각", "ㄱㅏ", "plain", "Å", "ｶﾞ", "ſ̣"]
     assert apply(un.normalize_nfkc, texts) == [unicodedata.normalize("NFKC", t) for t in texts]
+    assert apply(un.normalize_nfkc, [None, ""]) == [None, ""]
 
 
 def test_stable_characters_skip_the_normaliser():
@@ -73,8 +66,12 @@ def test_stable_characters_skip_the_normaliser():
 
 
 def test_entities(apply):
-    texts = ["a &amp; b &lt;x&gt; &#8364; &#x41; &notit; &copy", "&#0; &#1114112; &bogus; &amp;amp;", "none"]
+    texts = ["a &amp; b &lt;x&gt; &#8364; &#x41; &notit; &copy", "&#0; &#1114112; &bogus; &amp;amp;", "none",
+             "&#0000000000000000000065; &#x000000000000041 &#99999999999999999999; &#128; &#x81; &#55296; &#11;",
+             "&CounterClockwiseContourIntegral; &NotEqualTilde;x &ampx &AMP&&; &#; &#x; &; &acE; &notin; &not-"]
+    texts += ["&" + n for n in list(html.entities.html5)[::9]]
     assert apply(un.unescape_html, texts) == [html.unescape(t) for t in texts]
+    assert apply(un.unescape_html, [None]) == [None]
 
 
 def test_emoji(apply):

@@ -1,7 +1,7 @@
 import random
 import re
 
-from finchlake.constants import CONNECTIVES, NEGATIONS, STOPWORDS
+from finchlake.constants import CONNECTIVES, STOPWORDS
 from finchlake.functions import tokens as tk
 from finchlake.functions.stem import porter_stem
 from pyspark.sql import functions as F
@@ -47,53 +47,58 @@ def test_word_tokens(apply):
     ]
 
 
-def scan_negations(tokens):
-    out, skip = [], False
-    for i, t in enumerate(tokens):
-        if skip:
-            skip = False
-        elif t in NEGATIONS and i + 1 < len(tokens) and re.fullmatch("[a-zA-Z]+", tokens[i + 1]):
-            out.append("not_" + tokens[i + 1])
-            skip = True
-        else:
-            out.append(t)
-    return " ".join(out)
-
-
 def test_negations(apply):
-    rng = random.Random(1)
-    words = ["not", "never", "no", "good", "bad", ",", "!", "x1", "barely"]
-    texts = [" ".join(rng.choice(words) for _ in range(12)) for _ in range(200)] + ["", "not"]
-    tokens = apply(lambda c: tk.word_tokens(F.lower(c)), texts)
-    assert apply(tk.join_negations, texts) == [scan_negations(t) for t in tokens]
+    rows = {
+        "not good": "not_good", "never not good": "not_not good", "no, good": "no , good", "": "", "not": "not",
+        "not x1 never bad film": "not x1 not_bad film", "barely good no no no": "not_good not_no no",
+        "good not": "good not", "not not not good": "not_not not_good",
+    }
+    assert apply(tk.join_negations, list(rows)) == list(rows.values())
     merged = lambda c: tk.join_negations(c, merge_contractions=True)
-    assert apply(merged, ["I didn't like it, don’t go"]) == ["i not_like it , not_go"]
+    assert apply(merged, ["I didn't like it, don’t go", "a'b'c'd'e'f'g'h'i'j'k'l'm not good"]) == [
+        "i not_like it , not_go", "a'b'c'd'e'f'g'h'i'j'k'l'm not_good"]
+
 
+def last_event_before(tokens, i, ends):
+    """The nearest connective or sentence end in front of position ``i``; scopes are defined by it."""
+    before = [t for t in reversed(tokens[:i]) if t in CONNECTIVES or ends(t)]
+    return before[0] if before else None
 
-def scan_contrast(tokens, prefix, ends):
-    out, on = [], False
-    for t in tokens:
-        if t in CONNECTIVES:
-            on = True
-        elif ends(t):
-            on = False
-        elif on and t.strip():
-            t = prefix + t
-        out.append(t)
-    return out
+
+def in_contrast(tokens, prefix, ends):
+    return [
+        prefix + t if last_event_before(tokens, i, ends) in CONNECTIVES and t.strip() and t not in CONNECTIVES and not ends(t) else t
+        for i, t in enumerate(tokens)
+    ]
 
 
 def test_contrast(apply):
+    rows = [
+        (["good", "but", "bad", "film", ".", "x"], ["good", "but", "BUT_bad", "BUT_film", ".", "x"]),
+        (["yet", "however", "a", "", " "], ["yet", "however", "BUT_a", "", " "]), ([], []),
+        (["but", "...", "x", "!", "y"], ["but", "BUT_...", "BUT_x", "!", "y"]),
+    ]
+    assert apply(tk.mark_contrast_tokens, [r[0] for r in rows], "array<string>") == [r[1] for r in rows]
     rng = random.Random(2)
     words = ["but", "however", "yet", "good", "film", ".", "!", "...", "x"]
     lists = [[rng.choice(words + ["", " "]) for _ in range(rng.randint(0, 14))] for _ in range(200)]
     got = apply(tk.mark_contrast_tokens, lists, "array<string>")
-    assert got == [scan_contrast(t, "BUT_", lambda x: x in (".", "!", "?")) for t in lists]
-    texts = [" ".join(rng.choice(words) for _ in range(12)) for _ in range(200)]
-    tokens = apply(lambda c: tk.word_tokens(F.lower(c)), texts)
-    assert apply(tk.mark_contrast_text, texts) == [
-        " ".join(scan_contrast(t, "contrast_", lambda x: x[:1] in ".!?")) for t in tokens
-    ]
+    assert got == [in_contrast(t, "BUT_", lambda x: x in (".", "!", "?")) for t in lists]
+    assert apply(tk.mark_contrast_text, ["Nice but slow. Good!", "yet ... more", ""]) == [
+        "nice but contrast_slow . good !", "yet ... more", ""]
+
+
+def test_tokens_have_no_size_limits(apply):
+    host = ".".join(f"a{i}" for i in range(200)) + ".com"
+    url = "http://x.org/" + "a(b)" * 80
+    mail = "me@h." + ".".join(f"dd{i}" for i in range(200))
+    family = "\u200d".join(["👩"] * 30)
+    assert apply(tk.tweet_tokens, [host, url, mail, family, "&#0000000000065;b &#x00000000000041; &#99999999999;c"]) == [
+        [host], [url], [mail], [family], ["ab", "a", "c"]]
+    assert apply(lambda c: tk.word_tokens(c, merge_contractions=True), ["a" + "'b" * 12]) == [["a" + "'b" * 12]]
+    assert apply(tk.tweet_tokens, ["see a-b.com-x y..com z.info. http:/x http://() a.com@b"]) == [
+        ["see", "a-b.com", "-", "x", "y", "..", "com", "z.info", ".", "http", ":/", "x", "http://()",
+         "a", ".", "com", "@b"]]
 
 
 def test_sentence_statistics(apply):
