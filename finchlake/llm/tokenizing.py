@@ -10,19 +10,29 @@ from __future__ import annotations
 import functools
 import os
 import re
+import sys
+import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 
-import numpy as np
 import pandas as pd
 
-PIECES_KEPT = 200_000
+PIECES_KEPT = 400_000
 # The separators that Python takes for white space and the tokenizers do not.
 UNSURE = ("\x1c", "\x1d", "\x1e", "\x1f")
 WITH_SPACE = re.compile(r"\s*\S+|\s+")
+# Byte-level vocabularies write bytes as signs: printable Latin-1 ones as themselves, the others, in order,
+# as the characters from 256 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 
 
-class PieceEncoder:
-    """``ids(text)``: little-endian unsigned 32-bit ids of the whole text, without special tokens."""
+class PieceEncoder(dict):
+    """``ids(text)``: little-endian unsigned 32-bit ids of the whole text, without special tokens.
+
+    The dictionary itself holds the ids of known pieces; a missing one is looked for among those of the
+    generation before, and encoded at last.
+    """
 
     def __init__(self, path: str, drops_space: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already fill the cores
@@ -30,31 +40,53 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model, self.drops_space = self.tokenizer.model, drops_space
         self.split = str.split if drops_space else WITH_SPACE.findall
-        self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _encoded(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+    def _encoded(self, text: str) -> bytes:
+        word = self._one_word(text)
+        if word is None:
+            ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
+        else:
+            ids = array("I", [token.id for token in self.model.tokenize(word)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def _one_word(self, piece: str) -> str | None:
+        """A piece of letters only, as the tokenizer's own model takes it; None for any other piece.
+
+        Such a piece needs no cutting, which is most of the cost of a short text.
+        """
+        if self.drops_space:
+            lower = piece.lower()
+            if not (lower.isalpha() and len(lower) == len(piece) and "Σ" not in piece
+                    and unicodedata.is_normalized("NFC", piece)):
+                return None
+            piece = lower
+        elif not (piece[1:] if piece[:1] == " " else piece).isalpha():
+            return None
+        return piece.encode("utf-8").decode("latin-1").translate(BYTE_SIGNS)
+
+    def __missing__(self, piece: str) -> bytes:
+        known = self.old.get(piece)
+        if known is None:
+            # Both vocabularies end a piece between a letter and a full stop or comma.
+            if piece[-1] in ".," and len(piece) > 1 and piece[-2].isalpha():
+                known = self[piece[:-1]] + self[piece[-1]]
+            else:
+                known = self._encoded(piece)
+        self[piece] = known
+        return known
 
     def ids(self, text: str) -> bytes:
         if any(c in text for c in UNSURE):
-            return self._encoded([text])[0]
-        pieces = self.split(text)
-        new, old = self.new, self.old
-        missing = []
-        for piece in set(pieces).difference(new):
-            known = old.get(piece)
-            if known is None:
-                missing.append(piece)
-            else:
-                new[piece] = known
-        if missing:
-            new.update(zip(missing, self._encoded(missing)))
-        out = b"".join([new[piece] for piece in pieces])
-        if len(new) > PIECES_KEPT:  # the pieces of late live on, the others go
-            self.old, self.new = new, {}
+            return self._encoded(text)
+        out = b"".join(map(self.__getitem__, self.split(text)))
+        if len(self) > PIECES_KEPT:  # the pieces of late live on, the others go
+            self.old = dict(self)
+            self.clear()
         return out
 
 
