@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from finchlake.operators.rows import collected, exploded
 
-HOT_SHARE = 0.001       # a key above this share of all facts is hot; at most 1/HOT_SHARE keys are
-SALTS = 64              # tasks that share one hot key
+ROWS_PER_TASK = 1_000_000   # facts of one key that a task may hold before the key is salted
+MOST_HOT = 1_000_000        # and the most keys that the salts are told for
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -30,38 +30,47 @@ def fits_broadcast(df: DataFrame) -> bool:
     return seen["n"] <= BROADCAST_ROWS and seen["bytes"] <= BROADCAST_BYTES
 
 
-def hot_keys(dim: DataFrame, key: str, weight: str) -> DataFrame:
-    """Keys of ``dim`` whose ``weight`` (facts per key) exceeds HOT_SHARE of the total.
+def hot_keys(dim: DataFrame, keys: list[str], weight: str, rows_per_task: int) -> DataFrame:
+    """``keys`` and ``_salts`` of the keys with more than ``rows_per_task`` facts (``weight``).
 
-    The weights sum to the total, so there are fewer than 1/HOT_SHARE such keys: broadcasting this
-    table is always safe. The total is a scalar subquery inside the same plan.
+    The salts follow the facts, so a task holds about as many rows of a key however often it occurs. Where
+    the facts would give more than MOST_HOT such keys, the limit is the MOST_HOT-th part of all facts:
+    fewer keys than that can exceed it, so broadcasting the table is always safe.
     """
-    limit = dim.agg((F.sum(weight) * HOT_SHARE).alias("limit")).scalar()
-    return dim.where(F.col(weight) > limit).select(key)
+    share = dim.agg((F.sum(weight) / MOST_HOT).alias("share")).scalar()
+    limit = F.greatest(F.lit(float(rows_per_task)), F.coalesce(share, F.lit(0.0)))
+    return dim.where(F.col(weight) > limit).select(
+        *keys, F.ceil(F.col(weight) / limit).cast("int").alias("_salts"))
 
 
-def weighted_lookup(facts: DataFrame, dim: DataFrame, key: str, weight: str, spread: Column) -> DataFrame:
+def _salted_join(
+    facts: DataFrame, dim: DataFrame, keys: list[str], hot: DataFrame, spread: Column, how: str
+) -> DataFrame:
+    """Facts of a hot key go to as many tasks as it has salts; only its few rows of ``dim`` are repeated."""
+    hot = F.broadcast(hot)
+    salts = F.coalesce("_salts", F.lit(1))
+    left = facts.join(hot, keys, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(spread), salts).cast("int")).drop("_salts")
+    right = dim.join(hot, keys, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+
+
+def weighted_lookup(
+    facts: DataFrame, dim: DataFrame, key: str, weight: str, spread: Column, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Inner join of ``facts`` with the unique-keyed ``dim``, hot keys salted.
 
     ``weight`` is the number of facts per key and ``spread`` any column expression that varies within
-    a key (such as the id of the row). Facts of a hot key go to SALTS tasks; only the few hot rows of
-    ``dim`` are repeated. Where ``dim`` is small, Spark still turns this into a broadcast join.
+    a key (such as the id of the row). Where ``dim`` is small, Spark still turns this into a broadcast join.
     """
-    hot = F.broadcast(hot_keys(dim, key, weight).withColumn("_hot", F.lit(True)))
-    salted_facts = facts.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-        .otherwise(F.lit(0))
-    ).drop("_hot")
-    salted_dim = dim.join(hot, key, "left").withColumn(
-        "_salt",
-        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1)))
-                  .otherwise(F.array(F.lit(0)))),
-    ).drop("_hot")
-    return salted_facts.join(salted_dim, [key, "_salt"]).drop("_salt")
+    hot = hot_keys(dim, [key], weight, rows_per_task)
+    return _salted_join(facts, dim, [key], hot, spread, "inner")
 
 
 def keyed_lookup(
-    facts: DataFrame, dim: DataFrame, keys: list[str], spread: Column, how: str = "left"
+    facts: DataFrame, dim: DataFrame, keys: list[str], spread: Column, how: str = "left",
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Join ``facts`` with the unique-keyed ``dim``: broadcast if ``dim`` is proven small.
 
@@ -72,16 +81,7 @@ def keyed_lookup(
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    limit = counts.agg((F.sum("_n") * HOT_SHARE).alias("limit")).scalar()
-    hot = F.broadcast(counts.where(F.col("_n") > limit).select(*keys, F.lit(True).alias("_hot")))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
-    left = facts.join(hot, keys, "left").withColumn("_salt", salt).drop("_hot")
-    right = dim.join(hot, keys, "left").withColumn(
-        "_salt",
-        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1)))
-                  .otherwise(F.array(F.lit(0)))),
-    ).drop("_hot")
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    return _salted_join(facts, dim, keys, hot_keys(counts, keys, "_n", rows_per_task), spread, how)
 
 
 def substitute_tokens(

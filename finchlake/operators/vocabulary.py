@@ -67,44 +67,6 @@ def _deletions(word, position_count):
     )
 
 
-def _one_edit_keys(word, unknown: bool):
-    """Keys shared by exactly the word pairs that are one edit apart.
-
-    replace: the word with one letter masked, on both sides; delete: the unknown word less a letter
-    against the known word; insert: the other way round; transpose: swapped neighbours against the
-    known word. For words over a fixed alphabet the number of words per key is bounded by the
-    alphabet and the word length, whatever the corpus holds, so no key can become hot.
-    """
-    size = F.length(word)
-    positions = F.sequence(F.lit(1), size)
-    masked = F.transform(
-        positions,
-        lambda i: F.concat(
-            F.lit("r:"), F.substring(word, F.lit(1), i - 1), F.lit("*"), F.substring(word, i + 1, size)
-        ),
-    )
-    shorter = F.when(size > 1, _deletions(word, size)).otherwise(F.array(F.lit("")))
-    if not unknown:
-        return F.array_distinct(F.concat(
-            masked,
-            F.array(F.concat(F.lit("d:"), word), F.concat(F.lit("t:"), word)),
-            F.transform(shorter, lambda s: F.concat(F.lit("i:"), s)),
-        ))
-    swapped = F.transform(
-        F.filter(positions, lambda i: i < size),
-        lambda i: F.concat(
-            F.lit("t:"), F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.lit(1)),
-            F.substring(word, i, F.lit(1)), F.substring(word, i + 2, size),
-        ),
-    )
-    return F.array_distinct(F.concat(
-        masked,
-        F.transform(shorter, lambda s: F.concat(F.lit("d:"), s)),
-        F.array(F.concat(F.lit("i:"), word)),
-        swapped,
-    ))
-
-
 def _two_edit_keys(word):
     """The word and all its variants with one or two letters deleted."""
     once = F.when(F.length(word) > 1, _deletions(word, F.length(word))).otherwise(F.array(F.lit("")))
@@ -115,22 +77,63 @@ def _two_edit_keys(word):
     return F.array_distinct(F.concat(F.array(word), once, twice))
 
 
-def _best(pairs: DataFrame) -> DataFrame:
-    """Most frequent candidate per word; equal frequencies go to the alphabetically last."""
-    top = F.max(F.struct("n", "candidate"))
-    return pairs.groupBy("token").agg(top.alias("b")).select(
-        "token", F.col("b.candidate").alias("replacement")
-    )
+SHORT = 8  # known words up to this length are found by deletions, longer ones by their pieces
+
+
+def _known_keys(word):
+    """Keys under which a known word is found by every word at most two edits away.
+
+    A short word has its variants with up to two letters deleted. A longer one is cut into three pieces,
+    of which two edits leave one whole: its key names the word's length, the piece's number and the piece.
+    """
+    size, third = F.length(word), F.floor(F.length(word) / 3).cast("int")
+    pieces = F.transform(F.array(F.lit(0), F.lit(1), F.lit(2)), lambda j: F.concat_ws(
+        ":", size.cast("string"), j.cast("string"),
+        F.substring(word, j * third + 1, F.when(j == 2, size - 2 * third).otherwise(third))))
+    deleted = F.transform(_two_edit_keys(word), lambda k: F.concat(F.lit("d:"), k))
+    return F.when(size <= SHORT, deleted).otherwise(F.array_distinct(pieces))
+
+
+def _sought_keys(word):
+    """The keys of all known words that may be at most two edits away; their number has a fixed bound."""
+    size = F.length(word)
+    lengths = F.filter(F.sequence(size - 2, size + 2), lambda n: n > SHORT)
+
+    def piece(n, j, shift):
+        third = F.floor(n / 3).cast("int")
+        start, width = j * third + shift, F.when(j == 2, n - 2 * third).otherwise(third)
+        key = F.concat_ws(":", n.cast("string"), j.cast("string"), F.substring(word, start + 1, width))
+        return F.when((start >= 0) & (start + width <= size), key)
+
+    moved = F.flatten(F.flatten(F.transform(lengths, lambda n: F.transform(
+        F.array(F.lit(0), F.lit(1), F.lit(2)),
+        lambda j: F.transform(F.sequence(F.lit(-2), F.lit(2)), lambda shift: piece(n, j, shift))))))
+    deleted = F.when(
+        size <= SHORT + 2, F.transform(_two_edit_keys(word), lambda k: F.concat(F.lit("d:"), k)),
+    ).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(deleted, F.array_compact(moved)))
+
+
+def _swapped(a, b):
+    """True if two words of equal length differ by two neighbouring letters that changed places."""
+    unequal = F.filter(
+        F.sequence(F.lit(1), F.length(a)),
+        lambda i: F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1)))
+    first, second = F.get(unequal, 0), F.get(unequal, 1)
+    return (F.length(a) == F.length(b)) & (F.size(unequal) == 2) & (second == first + 1) & (
+        F.substring(a, first, F.lit(1)) == F.substring(b, second, F.lit(1))) & (
+        F.substring(a, second, F.lit(1)) == F.substring(b, first, F.lit(1)))
 
 
 def spelling_map(words: DataFrame, dictionary: DataFrame, max_edits: int = 2) -> DataFrame:
     """token, replacement for words that are not in ``dictionary(word, n)``.
 
-    Only words of the letters a to z take part. A dictionary word one edit away (replace, delete,
-    insert, transpose) wins over one two edits away (Levenshtein); among equals the more frequent
-    one wins. Words without a candidate stay out of the result.
+    Only words of letters, of any alphabet, take part. A dictionary word one edit away (replace, delete,
+    insert, swap of neighbours) wins over one two edits away (Levenshtein); among equals the more frequent
+    one wins, then the alphabetically last. Words without a candidate stay out of the result. The keys of
+    a word are bounded in number, so a very long word costs no more than its length.
     """
-    letters = F.col("word").rlike("^[a-z]+$")
+    letters = F.col("word").rlike(r"^\p{L}+$")
     known = dictionary.where(letters).select(F.col("word").alias("candidate"), "n")
     unknown = (
         words.where(letters).select("word").distinct()
@@ -139,20 +142,14 @@ def spelling_map(words: DataFrame, dictionary: DataFrame, max_edits: int = 2) ->
     )
     # Every word becomes many keys, so the words are spread before they are expanded.
     known, unknown = laid_out(known, "candidate"), laid_out(unknown, "token")
-    one = element_rows(unknown, ["token"], _one_edit_keys(F.col("token"), True), "key").join(
-        element_rows(known, ["candidate", "n"], _one_edit_keys(F.col("candidate"), False), "key"),
-        "key",
-    )
-    near = _best(one.where(F.col("token") != F.col("candidate")))
-    if max_edits < 2:
-        return near
-    rest = unknown.join(near.select("token"), "token", "left_anti")
-    two = element_rows(rest, ["token"], _two_edit_keys(F.col("token")), "key").join(
-        element_rows(known, ["candidate", "n"], _two_edit_keys(F.col("candidate")), "key"),
-        "key",
-    )
-    within = F.levenshtein(F.col("token"), F.col("candidate"), 2) >= 0
-    return near.unionByName(_best(two.where(within)))
+    met = element_rows(unknown, ["token"], _sought_keys(F.col("token")), "key").join(
+        element_rows(known, ["candidate", "n"], _known_keys(F.col("candidate")), "key"), "key")
+    apart = F.levenshtein(F.col("token"), F.col("candidate"), 2)
+    pairs = met.select("token", "candidate", "n", apart.alias("apart")).where(F.col("apart") > 0)
+    edits = F.when(F.col("apart") == 1, 1).when(_swapped(F.col("token"), F.col("candidate")), 1).otherwise(2)
+    near = pairs.select("token", "candidate", "n", edits.alias("edits")).where(F.col("edits") <= max_edits)
+    best = F.max(F.struct(-F.col("edits"), "n", "candidate"))
+    return near.groupBy("token").agg(best.alias("b")).select("token", F.col("b.candidate").alias("replacement"))
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from finchlake.operators import metrics, ordinal
 from finchlake.plans.model import (
-    HASH_SIZE, fitted_stages, score, text_features, text_stages, train,
+    HASH_SIZE, MAX_ITER, fitted_stages, score, text_features, text_stages, train,
 )
 from finchlake.session import written
 from finchlake.sources.labelled import write_error_log
@@ -43,14 +43,14 @@ def cross_validate(
     lexicon: dict[str, list[str]] | None = None,
     encoder: Callable | None = None,
     hash_size: int = HASH_SIZE,
-    max_iter: int = 20,
+    max_iter: int = MAX_ITER,
     legacy_tail: bool = False,
     parallelism: int = 3,
     log_path: str | None = None,
 ) -> DataFrame:
     """Predictions (id, fold, true, pred, text) of contiguous k-fold cross-validation.
 
-    Row-wise features are computed once and written to the shared folder, by fold; document
+    Row-wise features are computed once and written to the shared folder, a part for each fold; document
     frequencies and the SVM are fitted anew inside every fold, on the other folds only. Folds are
     fitted ``parallelism`` at a time, so the cluster is busy while one fit waits for its last tasks.
     """
@@ -58,7 +58,7 @@ def cross_validate(
     fold = ordinal.fold_id(total, folds, legacy_tail=legacy_tail)
     rows = placed.withColumn("fold", fold)
     stages = text_stages(architecture, lexicon, encoder, hash_size)
-    features = text_features(rows, [key, "fold", "label", "text"], stages, architecture)
+    features = text_features(rows, [key, "fold", "label", "text"], stages, architecture, partition_by="fold")
     tested = total - 1 if legacy_tail else total
     fold_ids = range(-(-tested // ordinal.fold_width(total, folds)))
 

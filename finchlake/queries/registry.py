@@ -20,7 +20,7 @@ from finchlake.operators import metrics, ordinal, terms, vocabulary
 from finchlake.operators.lookup import substitute_tokens
 from finchlake.operators.rows import element_rows
 from finchlake.plans import evaluate, model, preprocess
-from finchlake.plans.features import embed, hashed_projection
+from finchlake.plans.features import character_profile, embed, hashed_projection
 from finchlake.queries import fixtures as fx
 from finchlake.queries import sql as q
 from finchlake.queries import stem_sql
@@ -159,7 +159,7 @@ def wordnet_pos(spark, sf_dir):
     return classes.groupBy("doc_id", "wn_class").agg(F.count(F.lit(1)).alias("n"))
 
 
-DICTIONARY_MIN = 20
+DICTIONARY_SHARE = 5e-5
 
 
 def corpus_words(tokenized: DataFrame) -> DataFrame:
@@ -168,12 +168,13 @@ def corpus_words(tokenized: DataFrame) -> DataFrame:
 
 
 def dictionary(words: DataFrame) -> DataFrame:
-    """Words that occur often enough in the corpus to count as correct."""
-    return words.where(F.col("n") >= DICTIONARY_MIN)
+    """Words that make up enough of the corpus to count as correct."""
+    total = words.agg(F.sum("n").alias("total")).scalar()
+    return words.where(F.col("n") >= total * DICTIONARY_SHARE)
 
 
 _COUNTS_SQL = "counts AS (SELECT tok AS word, count(*) AS n FROM base_rows GROUP BY tok)"
-_DICT_SQL = f"dict AS (SELECT word, n FROM counts WHERE n >= {DICTIONARY_MIN})"
+_DICT_SQL = "dict AS (SELECT word, n FROM counts WHERE n >= (SELECT sum(n) FROM counts)::DOUBLE * 5e-5::DOUBLE)"
 _LEMMA_SQL = (
     "tagged AS (SELECT DISTINCT tok AS word, " + _TAG_SQL + " AS cls FROM base_rows),\n"
     "rules AS (SELECT * FROM (VALUES " + ", ".join(
@@ -210,13 +211,14 @@ def stems(spark, sf_dir):
     return substitute_tokens(rows, "doc_id", "tokens", mapping).select("doc_id", fx.joined_tokens("tokens"))
 
 
-@query("spell_map", q.with_(*q.PRE, _BASE_ROWS, _COUNTS_SQL, _DICT_SQL) + """,
-known AS (SELECT * FROM dict WHERE regexp_full_match(word, '[a-z]+')),
-unknown AS (SELECT word FROM counts WHERE regexp_full_match(word, '[a-z]+')
-            AND word NOT IN (SELECT word FROM dict)),
+# DuckDB measures distances in bytes: the accented letters of the texts are written as capitals first.
+@query("spell_map", q.with_(*q.PRE, _BASE_ROWS, _COUNTS_SQL, _DICT_SQL) + r""",
+known AS (SELECT *, translate(word, 'éóèñüçäêößí', 'ABCDEFGHIJK') AS w FROM dict WHERE regexp_full_match(word, '\p{L}+')),
+unknown AS (SELECT word, translate(word, 'éóèñüçäêößí', 'ABCDEFGHIJK') AS w FROM counts
+            WHERE regexp_full_match(word, '\p{L}+') AND word NOT IN (SELECT word FROM dict)),
 pairs AS (SELECT u.word AS token, k.word AS candidate, k.n,
-          CASE WHEN damerau_levenshtein(u.word, k.word) = 1 THEN 1
-               WHEN levenshtein(u.word, k.word) <= 2 THEN 2 END AS edits
+          CASE WHEN damerau_levenshtein(u.w, k.w) = 1 THEN 1
+               WHEN levenshtein(u.w, k.w) <= 2 THEN 2 END AS edits
           FROM unknown u JOIN known k ON abs(len(u.word) - len(k.word)) <= 2)
 SELECT token, first(candidate ORDER BY edits, n DESC, candidate DESC) AS replacement
 FROM pairs WHERE edits IS NOT NULL GROUP BY token""")
@@ -514,11 +516,11 @@ f AS (SELECT doc_id, (ord // (total // {fx.FOLDS} + 1))::INT AS fold FROM placed
 SELECT a.fold, count(*) AS n_train, sum(b.doc_id)::BIGINT AS id_sum
 FROM (SELECT DISTINCT fold FROM f) a JOIN f b ON b.fold <> a.fold GROUP BY a.fold""")
 def train_rows(spark, sf_dir):
-    """Rows outside each test fold: an anti join by id, one per fold."""
+    """Rows outside each test fold: a predicate on the fold, one per fold."""
     rows, total = ordinal.ordinal(fx.noisy_labelled(spark, sf_dir).select("doc_id"), "doc_id")
-    folds = rows.withColumn("fold", ordinal.fold_id(total, fx.FOLDS))
+    folds = written(rows.select("doc_id", ordinal.fold_id(total, fx.FOLDS).alias("fold")), "folds", "fold")
     parts = [
-        rows.join(folds.where(F.col("fold") == k), "doc_id", "left_anti").agg(
+        folds.where(F.col("fold") != k).agg(
             F.lit(k).alias("fold"), F.count(F.lit(1)).alias("n_train"), F.sum("doc_id").alias("id_sum")
         )
         for k in range(-(-total // ordinal.fold_width(total, fx.FOLDS)))
@@ -594,22 +596,27 @@ def class_weights(spark, sf_dir):
 
 # ---------------------------------------------------------------- models
 
-@query("embed_batch", q.with_(q.NOISY) + (
-    "SELECT doc_id, 64 AS dim, 1.0::DOUBLE AS norm FROM noisy"
-))
+@query("embed_batch", q.with_(q.NOISY) + """,
+points AS (SELECT doc_id, unicode(unnest(string_split(text, ''))) % 64 AS cell FROM noisy),
+counts AS (SELECT doc_id, cell, count(*)::DOUBLE AS n FROM points GROUP BY ALL),
+unit AS (SELECT doc_id, cell, (n / sqrt(sum(n * n) OVER (PARTITION BY doc_id)))::FLOAT::DOUBLE AS v FROM counts)
+SELECT doc_id, 64 AS dim, round(max(v), 4) AS top, round(sum(cell * v), 2) AS moment
+FROM unit GROUP BY doc_id""")
 def embed_batch(spark, sf_dir):
-    """The SQL checks that every text has one vector of the right size and length; values need the encoder."""
+    """Vectors of an encoder that SQL can recompute, seen by their largest component and first moment."""
     vectors = fx.noisy_tweets(spark, sf_dir).select(
-        "doc_id", embed(F.col("text"), hashed_projection(64), batch_size=64).alias("v")
+        "doc_id", embed(F.col("text"), character_profile(64), batch_size=64, preprocess=None).alias("v")
     )
-    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    return vectors.select("doc_id", F.size("v").alias("dim"), F.round(F.sqrt(square), 4).alias("norm"))
+    weighted = F.transform("v", lambda x, i: x.cast("double") * i)
+    return vectors.select(
+        "doc_id", F.size("v").alias("dim"), F.round(F.array_max("v").cast("double"), 4).alias("top"),
+        F.round(F.aggregate(weighted, F.lit(0.0), lambda a, x: a + x), 2).alias("moment"))
 
 
 def _fitted(spark, sf_dir, architecture: str):
     encoder = hashed_projection(64) if architecture == "BERTweet" else None
     rows = fx.noisy_labelled(spark, sf_dir)
-    return model.train(rows, architecture, fx.LEXICON, encoder, max_iter=10)
+    return model.train(rows, architecture, fx.LEXICON, encoder)
 
 
 @query("svm_base")
@@ -633,13 +640,13 @@ def score_texts(spark, sf_dir):
 @query("holdout_eval")
 def holdout_eval(spark, sf_dir):
     rows = fx.noisy_labelled(spark, sf_dir)
-    predictions = evaluate.holdout(rows, "doc_id", lexicon=fx.LEXICON, max_iter=10)[1]
+    predictions = evaluate.holdout(rows, "doc_id", lexicon=fx.LEXICON)[1]
     return metrics.weighted_prf(predictions).select("precision", "recall", "f1")
 
 
 @query("kfold_eval")
 def kfold_eval(spark, sf_dir):
     predictions = evaluate.cross_validate(
-        fx.noisy_labelled(spark, sf_dir), "doc_id", folds=3, lexicon=fx.LEXICON, max_iter=10
+        fx.noisy_labelled(spark, sf_dir), "doc_id", folds=10, lexicon=fx.LEXICON
     )
     return evaluate.cv_scores(predictions).select("precision", "recall", "f1")

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: str | None = None
+_written: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,8 +32,24 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: short lineage that survives lost executors."""
+def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: short lineage that survives lost executors.
+
+    ``partition_by`` keeps the rows of each of its values in files of their own, so that a filter on it
+    reads those only. The tables stay until :func:`drop_written` removes them.
+    """
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_written(spark: SparkSession) -> int:
+    """Delete the tables that this process wrote by :func:`written`; results that read them end with it."""
+    dropped = 0
+    while _written:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        dropped += bool(store.delete(path, True))
+    return dropped

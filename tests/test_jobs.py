@@ -5,6 +5,7 @@ import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
+from finchlake import session
 from finchlake.operators import lexicon, lookup, metrics, ordinal, terms, vocabulary
 from finchlake.operators.rows import laid_out
 from finchlake.plans import evaluate, model
@@ -41,6 +42,24 @@ def test_lookup_paths_agree(spark, monkeypatch):
     assert joined.count() == 4000 and joined.where("token = 'hot'").select("n").distinct().collect()[0]["n"] == 1334
 
 
+def test_a_key_of_every_row_is_split(spark):
+    facts = spark.range(5000).select("id", F.lit("the").alias("token"))
+    stats = facts.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    salts = lookup.hot_keys(stats, ["token"], "n", 100).collect()
+    assert [(r["token"], r["_salts"]) for r in salts] == [("the", 50)]
+    joined = lookup.weighted_lookup(facts, stats, "token", "n", F.col("id"), rows_per_task=100)
+    assert joined.select("id").distinct().count() == joined.count() == 5000
+
+
+def test_written_tables_can_be_dropped(spark):
+    table = session.written(spark.range(7).withColumn("k", F.col("id") % 2), "dropped", partition_by="k")
+    assert table.where("k = 1").count() == 3 and table.columns == ["id", "k"]
+    paths = table.inputFiles()
+    kept, session._written[:] = session._written[:-1], session._written[-1:]
+    assert session.drop_written(spark) == 1 and not any(os.path.exists(p.removeprefix("file://")) for p in paths)
+    session._written[:] = kept
+
+
 def test_lexicon_paths_agree(spark, sf_dir):
     rows = fx.tokenized(spark, sf_dir)
     table = spark.createDataFrame(
