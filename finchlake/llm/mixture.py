@@ -128,7 +128,7 @@ class Mixture:
             ends.append(round(CYCLE * run / self.total) if self.total else 0)
         if ends:
             ends[-1] = CYCLE
-        cuts = F.split(F.lit(",".join(map(str, ends))), ",").cast("array<long>")
+        cuts = (F.split(F.lit(",".join(map(str, ends))), ",") if ends else F.array()).cast("array<long>")
         point = (F.col("slot") % CYCLE) * STEP % CYCLE
         ids = self.spark.range(slots).withColumnRenamed("id", "slot")
         drawn = ids.withColumn("point", point).select(

@@ -1,6 +1,7 @@
 """Operators 2 and 7."""
 
 import io
+import random
 
 import numpy as np
 import public_tokenizers
@@ -47,6 +48,8 @@ def test_pieces_give_the_ids_of_whole_texts(name, drops, documents, monkeypatch)
     encode = tokenizing.PieceEncoder(public_tokenizers.path(name), drops)
     texts = [r["text"] or "" for r in documents.collect()] + [
         "", " ", "  \n\n a  b\t.", "a.b, c.", "é. à,, .,", "don't. they've,", "q́, <|endoftext|>. ", "x\x1cy\xa0 z　.", "日本語。テスト.", "ﬁ①. Ⅷ,"]
+    rng = random.Random(6)
+    texts += ["".join(rng.choice("aB é.,1' \n\n  \t\xa0\r\0") for _ in range(rng.randrange(12))) for _ in range(3000)]
     for text in texts:
         want = np.array(encode.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
         assert encode.ids(text) == want.tobytes()

@@ -135,7 +135,7 @@ def test_plan_places_every_piece_once_and_tightly():
     assert packing.plan_best_fit({}, 10) == []
     with pytest.raises(ValueError):
         packing.plan_best_fit({11: 1}, 10)
-    assert len(packing.plan_best_fit({3: 10**12, 2048: 10**12}, 2048)) < 1000
+    assert len(packing.plan_best_fit({3: 10**12, 2048: 10**12}, 2048)) < 2 * 2048
 
 
 def test_packing_query_against_the_tokenizer(spark, sf_dir, documents):
