@@ -169,9 +169,8 @@ def write_token_frames(
         if writer:
             yield finished()
 
-    docs = key_ranges(df, key, parts)(df).select(
-        "part", F.coalesce(column(key).cast("long"), F.lit(NO_KEY)).alias("key"), text_or_empty(text).alias("text"))
-    ordered = docs.repartition(shuffle_partitions(df), "part").sortWithinPartitions("part", "key", "text")
+    docs = df.select(F.coalesce(column(key).cast("long"), F.lit(NO_KEY)).alias("key"), text_or_empty(text).alias("text"))
+    ordered = key_ranges(docs, "key", parts)(docs).repartition(shuffle_partitions(df), "part").sortWithinPartitions("part", "key", "text")
     return written(ordered.mapInPandas(write, MANIFEST), "frame-manifest")
 
 

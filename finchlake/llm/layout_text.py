@@ -46,6 +46,7 @@ IMPLIED = {
     "rt": ({"rt", "rp"}, {"ruby"}), "rp": ({"rt", "rp"}, {"ruby"}),
     "body": ({"head"}, {"html"}),
 }
+FORMATTING = set("a b big code em font i nobr s small strike strong tt u".split())
 HEAD_ONLY = set("base link meta noscript script style template title head html".split())
 SPACES = re.compile(r"[ \t\n\r\f]+")
 DECLARED = re.compile(r"(display|visibility)\s*:\s*([a-z-]+)")
@@ -117,12 +118,18 @@ class TreeBuilder(HTMLParser):
             return
         if tag in ("html", "body"):
             return
+        crossed = False  # a block within the element, which an inline end tag does not end
         for at in range(len(self.open) - 1, 0, -1):
-            if self.open[at].tag == tag:
-                del self.open[at:]
+            inner = self.open[at].tag
+            if inner == tag:
+                if not crossed or tag in BLOCKS | BARRIERS | NEVER_SHOWN:
+                    del self.open[at:]
+                elif tag in FORMATTING:
+                    del self.open[at]
                 return
-            if self.open[at].tag in BARRIERS and tag not in ("table", "tr", "tbody", "thead", "tfoot"):
+            if inner in BARRIERS and tag not in ("table", "tr", "tbody", "thead", "tfoot"):
                 break
+            crossed = crossed or inner in BLOCKS - {"option", "optgroup"}
         if tag == "p":
             self.open[-1].children.append(Node("p", {}))
 
@@ -268,8 +275,8 @@ def rendered(html: str) -> str:
             continue
         node, flow, state = step
         if isinstance(node, str):
-            if state["shown"] and state["table"] is None:
-                flow.text(node, state["kept"])
+            if state["shown"] and (state["table"] is None or node.strip()):
+                flow.text(node, state["kept"])  # text between the parts of a table stands before it
             continue
         tag, attrs = node.tag, node.attrs
         if tag in NEVER_SHOWN or "hidden" in attrs or (tag == "dialog" and "open" not in attrs):
@@ -294,6 +301,7 @@ def rendered(html: str) -> str:
             flow.apart(2)
 
             def end_table(flow=flow, table=table):
+                flow.apart(2)
                 flow.block(table.lines())
                 flow.apart(2)
 

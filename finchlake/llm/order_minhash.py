@@ -127,16 +127,15 @@ def order_minhash(df: DataFrame, key: str, text: str) -> DataFrame:
     sent to both, so every text is exchanged once. A null text is empty, null keys come last, rows with
     equal keys are in text order. A table of one row has itself as next; an empty table gives no rows.
     """
-    add_part = key_ranges(df, key, 3 * shuffle_partitions(df))
-    order_key = column(key)
+    docs = df.select(column(key).alias("key"), text_or_empty(text).alias("text"))
+    add_part = key_ranges(docs, "key", 3 * shuffle_partitions(df))
     tops = {r["part"]: r["top"] for r in
-            add_part(df.select(order_key)).groupBy("part").agg(F.max(order_key).alias("top")).collect()}
+            add_part(docs.select("key")).groupBy("part").agg(F.max("key").alias("top")).collect()}
     parts = sorted(tops)
     kind = df.schema[key].dataType.simpleString()
     sent = [(p, tops[p], parts[(i + 1) % len(parts)]) for i, p in enumerate(parts)]
     halo = df.sparkSession.createDataFrame(sent, f"part int, top {kind}, also int")
-    rows = add_part(df).select("part", order_key.alias("key"), text_or_empty(text).alias("text"))
-    joined = rows.join(F.broadcast(halo), "part")
+    joined = add_part(docs).join(F.broadcast(halo), "part")
     once = F.struct(F.col("part"), F.lit(False).alias("halo"))
     twice = F.array(once, F.struct(F.col("also").alias("part"), F.lit(True).alias("halo")))
     dealt = joined.select(
