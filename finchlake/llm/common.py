@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROW = "row"
+ROWS_PER_BATCH = 1_000
 
 
 def packed(df: DataFrame, **columns: Column) -> DataFrame:
@@ -69,3 +70,14 @@ def key_ranges(df: DataFrame, key: str, parts: int):
         return placed.withColumn("part", F.col("part").cast("int"))
 
     return add
+
+
+def small_batches(df: DataFrame) -> None:
+    """Let the session send whole texts to Python in batches of at most ROWS_PER_BATCH rows.
+
+    Spark's default of 10,000 rows takes a Python worker several hundred MB for texts of some kilobytes.
+    The setting is only ever lowered; it changes no result.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= ROWS_PER_BATCH:
+        conf.set(name, str(ROWS_PER_BATCH))

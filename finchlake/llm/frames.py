@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finchlake.llm.common import column, key_ranges, shuffle_partitions, text_or_empty
+from finchlake.llm.common import column, key_ranges, shuffle_partitions, small_batches, text_or_empty
 from finchlake.llm.tokenizing import encoder
 from finchlake.session import fresh_path, written
 
@@ -138,6 +138,7 @@ def write_token_frames(
     has the end id alone; null keys come first; rows with equal keys follow one another in text order. An
     empty table gives an empty manifest.
     """
+    small_batches(df)
     folder = folder or fresh_path(df.sparkSession, "token-frames")
     parts = parts or 2 * shuffle_partitions(df)
     end = np.array([end_id], dtype="<u4").tobytes()

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finchlake.llm.common import packed, text_or_empty, unpacked
+from finchlake.llm.common import packed, small_batches, text_or_empty, unpacked
 
 # Elements by how HTML treats them.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -420,6 +420,8 @@ def with_layout_text(df: DataFrame, html: str, into: str = "text") -> DataFrame:
 
     Other columns, nulls and repeated rows pass through; an empty table gives no rows.
     """
+    small_batches(df)
+
     @F.pandas_udf("string")
     def render(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for page in pages:

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finchlake.llm.common import column, key_ranges, shuffle_partitions, text_or_empty
+from finchlake.llm.common import column, key_ranges, shuffle_partitions, small_batches, text_or_empty
 
 K = 8               # code points of a k-mer
 CELLS_LOG2 = 6
@@ -127,6 +127,7 @@ def order_minhash(df: DataFrame, key: str, text: str) -> DataFrame:
     sent to both, so every text is exchanged once. A null text is empty, null keys come last, rows with
     equal keys are in text order. A table of one row has itself as next; an empty table gives no rows.
     """
+    small_batches(df)
     docs = df.select(column(key).alias("key"), text_or_empty(text).alias("text"))
     add_part = key_ranges(docs, "key", 3 * shuffle_partitions(df))
     tops = {r["part"]: r["top"] for r in

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finchlake.llm.common import column, packed, shuffle_partitions, text_or_empty
+from finchlake.llm.common import column, packed, shuffle_partitions, small_batches, text_or_empty
 from finchlake.llm.tokenizing import chunks, encoder
 
 ROWS_PER_CELL = 100_000
@@ -87,6 +87,7 @@ def token_pieces(
 
     ``key`` is the column of that name; a null text is an empty one, of which only the end id stays.
     """
+    small_batches(df)
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:

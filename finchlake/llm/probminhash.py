@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StructType
 
-from finchlake.llm.common import column, packed, text_or_empty, unpacked
+from finchlake.llm.common import column, packed, small_batches, text_or_empty, unpacked
 from finchlake.llm.components import component_labels
 from finchlake.llm.order_minhash import mixed
 from finchlake.session import written
@@ -219,6 +219,7 @@ def text_node(text: str):
 
 def _classes(df: DataFrame, key: str, text: str, least: float) -> tuple[DataFrame, DataFrame]:
     """key, node of every row; node, class_id, class_size, chosen (key and node of one row) of every text."""
+    small_batches(df)
     signed = written(df.select(
         column(key).alias("key"), text_node(text).alias("node"), signatures(text_or_empty(text)).alias("s"),
     ).select("key", "node", "s.buckets", "s.sketch"), "signatures")

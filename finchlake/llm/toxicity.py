@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from finchlake.llm.common import column, packed, text_or_empty, unpacked
+from finchlake.llm.common import column, packed, small_batches, text_or_empty, unpacked
 from finchlake.session import written
 
 # What a sign may stand for, and letters of other scripts that look like Latin ones.
@@ -326,6 +326,7 @@ def fit_detector(df: DataFrame, key: str, text: str, labels: DataFrame, label: s
     teaches the marks, the other the weights. Without a toxic and a clean row in both, every score is 0.
     Labels of a null key are not used; of several labels of a key the highest counts.
     """
+    small_batches(df)
     spark = df.sparkSession
     model = language_model(trigram_counts(df, text))
     none = Detector(model, {}, np.array([-40.0, 0.0, 0.0, 0.0, 0.0, 0.0]))
@@ -398,6 +399,7 @@ def with_toxicity(df: DataFrame, text: str, detector: Detector, threshold: float
 
     Equal texts have equal scores; an empty table gives no rows; columns of the same names are replaced.
     """
+    small_batches(df)
     shared = df.sparkSession.sparkContext.broadcast(detector)
 
     @F.pandas_udf(DoubleType())
