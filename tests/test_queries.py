@@ -23,3 +23,9 @@ def test_query_equals_sql(spark, sf_dir, name):
     got = queries()[name](spark, sf_dir).toPandas()
     want = connect(sf_dir).execute(oracle_sql()[name]).df()
     assert canonical(got) == canonical(want)
+
+
+@pytest.mark.parametrize("name", ["nfkc", "html_entities", "clean_text", "light_clean", "pre_process", "tweet_tokens", "term_counts"])
+def test_text_work_runs_no_python(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
