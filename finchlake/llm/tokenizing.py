@@ -17,7 +17,7 @@ from collections.abc import Iterable, Iterator
 
 import pandas as pd
 
-PIECES_KEPT = 400_000
+PIECES_KEPT = 600_000
 # The separators that Python takes for white space and the tokenizers do not.
 UNSURE = ("\x1c", "\x1d", "\x1e", "\x1f")
 WITH_SPACE = re.compile(r"\s*\S+|\s+")
