@@ -356,10 +356,11 @@ def fit_detector(df: DataFrame, key: str, text: str, labels: DataFrame, label: s
 
     # The bitmap of a mark with few contexts has few bits: such marks go before they reach the driver.
     positive = counted(1, None).where((F.col("docs") >= LEAST_CONTEXTS) & (F.bit_count("bits") >= LEAST_CONTEXTS))
-    found = {r["mark"]: (r["docs"], _spread(r["bits"] & ((1 << 64) - 1)))
-             for r in positive.orderBy(F.bit_count("bits").desc(), F.desc("docs"), "mark").limit(4 * MOST_MARKS).collect()}
+    best_spread = positive.orderBy(F.bit_count("bits").desc(), F.desc("docs"), "mark").limit(MOST_MARKS).toArrow()
+    found = {m: (d, _spread(b & ((1 << 64) - 1))) for m, d, b in zip(*(c.to_pylist() for c in best_spread.columns))}
     wanted = spark.sparkContext.broadcast(set(found))
-    against = {r["mark"]: r["docs"] for r in counted(0, wanted).collect()}
+    clean = counted(0, wanted).select("mark", "docs").toArrow()
+    against = dict(zip(*(c.to_pylist() for c in clean.columns)))
     weights = {}
     for mark, (docs, contexts) in found.items():
         pos, neg = min(docs, contexts), against.get(mark, 0)
