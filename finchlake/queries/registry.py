@@ -613,14 +613,13 @@ def embed_batch(spark, sf_dir):
         F.round(F.aggregate(weighted, F.lit(0.0), lambda a, x: a + x), 2).alias("moment"))
 
 
-# The registered model queries stay small: by default training uses 2**18 slots and up to 3,000 iterations.
-QUICK = {"hash_size": 1 << 13, "max_iter": 10}
+FOLDS = 10
 
 
 def _fitted(spark, sf_dir, architecture: str):
     encoder = hashed_projection(64) if architecture == "BERTweet" else None
     rows = fx.noisy_labelled(spark, sf_dir)
-    return model.train(rows, architecture, fx.LEXICON, encoder, **QUICK)
+    return model.train(rows, architecture, fx.LEXICON, encoder)
 
 
 @query("svm_base")
@@ -644,13 +643,12 @@ def score_texts(spark, sf_dir):
 @query("holdout_eval")
 def holdout_eval(spark, sf_dir):
     rows = fx.noisy_labelled(spark, sf_dir)
-    predictions = evaluate.holdout(rows, "doc_id", lexicon=fx.LEXICON, **QUICK)[1]
+    predictions = evaluate.holdout(rows, "doc_id", lexicon=fx.LEXICON)[1]
     return metrics.weighted_prf(predictions).select("precision", "recall", "f1")
 
 
 @query("kfold_eval")
 def kfold_eval(spark, sf_dir):
-    predictions = evaluate.cross_validate(
-        fx.noisy_labelled(spark, sf_dir), "doc_id", folds=3, lexicon=fx.LEXICON, **QUICK
-    )
+    rows = fx.noisy_labelled(spark, sf_dir)
+    predictions = evaluate.cross_validate(rows, "doc_id", folds=FOLDS, lexicon=fx.LEXICON)
     return evaluate.cv_scores(predictions).select("precision", "recall", "f1")
