@@ -48,7 +48,6 @@ TRAIN_POSITIVE, TRAIN_NEGATIVE = 3_000, 9_000   # most labelled rows that the ma
 FIT_POSITIVE, FIT_NEGATIVE = 1_500, 4_500       # and that the weights of the score are fitted on
 LEAST_CONTEXTS = 3
 LEAST_WEIGHT = 1.0
-MOST_MARKS = 50_000
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -284,12 +283,6 @@ class Detector:
         return {"model": self.model, "marks": self.marks, "weights": self.weights}
 
 
-def _spread(bits: int) -> float:
-    """Distinct values from a 64-bit bitmap of their hashes."""
-    empty = 64 - bits.bit_count()
-    return 64.0 * math.log(64.0 / max(empty, 0.5))
-
-
 def _word_hash(word: str) -> int:
     out = 0
     for c in word:
@@ -297,7 +290,7 @@ def _word_hash(word: str) -> int:
     return out
 
 
-def _mark_rows(batches: Iterable[pd.DataFrame], shared, wanted: set[str] | None) -> Iterator[pd.DataFrame]:
+def _mark_rows(batches: Iterable[pd.DataFrame], shared) -> Iterator[pd.DataFrame]:
     """mark, docs, bits: documents that hold it and a bitmap of its contexts, for each batch."""
     for batch in batches:
         docs: dict[str, int] = {}
@@ -310,9 +303,8 @@ def _mark_rows(batches: Iterable[pd.DataFrame], shared, wanted: set[str] | None)
                 around = (hashes[i - 1] if i else 0) * 31 + (hashes[i + 1] if i + 1 < len(words) else 0)
                 bit = 1 << ((around * 0x9E3779B97F4A7C15 >> 40) & 63)
                 for mark in marks_of(word):
-                    if wanted is None or mark in wanted:
-                        bits[mark] = bits.get(mark, 0) | bit
-                        seen.add(mark)
+                    bits[mark] = bits.get(mark, 0) | bit
+                    seen.add(mark)
             for mark in seen:
                 docs[mark] = docs.get(mark, 0) + 1
         signed = [b - (1 << 64) if b >> 63 else b for b in (bits[m] for m in docs)]
@@ -346,30 +338,26 @@ def fit_detector(df: DataFrame, key: str, text: str, labels: DataFrame, label: s
         return none
     shared = spark.sparkContext.broadcast(none)
 
-    def counted(toxic: int, wanted) -> DataFrame:
+    def counted(toxic: int) -> DataFrame:
         def scan(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            return _mark_rows(batches, shared, wanted.value if wanted else None)
+            return _mark_rows(batches, shared)
 
         part = sample.where((F.col("toxic") == toxic) & ~F.col("fits")).select("text")
         return part.mapInPandas(scan, "mark string, docs long, bits long").groupBy("mark").agg(
             F.sum("docs").alias("docs"), F.bit_or("bits").alias("bits"))
 
-    # The bitmap of a mark with few contexts has few bits: such marks go before they reach the driver.
-    positive = counted(1, None).where((F.col("docs") >= LEAST_CONTEXTS) & (F.bit_count("bits") >= LEAST_CONTEXTS))
-    best_spread = positive.orderBy(F.bit_count("bits").desc(), F.desc("docs"), "mark").limit(MOST_MARKS).toArrow()
-    found = {m: (d, _spread(b & ((1 << 64) - 1))) for m, d, b in zip(*(c.to_pylist() for c in best_spread.columns))}
-    wanted = spark.sparkContext.broadcast(set(found))
-    clean = counted(0, wanted).select("mark", "docs").toArrow()
-    against = dict(zip(*(c.to_pylist() for c in clean.columns)))
-    weights = {}
-    for mark, (docs, contexts) in found.items():
-        pos, neg = min(docs, contexts), against.get(mark, 0)
-        gain = math.log((pos + 0.5) / (sizes[1, False] + 1)) - math.log((neg + 0.5) / (sizes[0, False] + 1))
-        sure = gain - math.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5))
-        if sure > LEAST_WEIGHT:
-            weights[mark] = sure
-    best = sorted(weights, key=lambda m: (-weights[m], m))[:MOST_MARKS]
-    partial = Detector(model, {m: weights[m] for m in best}, none.weights)
+    # Marks are weighed in Spark; those of the documented sample with enough weight are all kept.
+    positive = counted(1).where((F.col("docs") >= LEAST_CONTEXTS) & (F.bit_count("bits") >= LEAST_CONTEXTS))
+    clean = counted(0).select("mark", F.col("docs").alias("clean_docs"))
+    # Distinct values from a 64-bit bitmap of their hashes.
+    contexts = 64.0 * F.log(64.0 / F.greatest(64 - F.bit_count("bits"), F.lit(0.5)))
+    pos, neg = F.least(F.col("docs").cast("double"), contexts), F.coalesce(F.col("clean_docs"), F.lit(0))
+    gain = F.log((pos + 0.5) / (sizes[1, False] + 1)) - F.log((neg + 0.5) / (sizes[0, False] + 1))
+    weighed = positive.join(clean, "mark", "left").select(
+        "mark", (gain - F.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5))).alias("weight"))
+    best = weighed.where(F.col("weight") > LEAST_WEIGHT).toArrow()
+    marks = dict(sorted(zip(*(c.to_pylist() for c in best.columns))))
+    partial = Detector(model, marks, none.weights)
     told = spark.sparkContext.broadcast(partial)
 
     def measured(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:

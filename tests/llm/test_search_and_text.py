@@ -87,6 +87,22 @@ def test_held_out_and_disguised_texts(spark):
     assert len(wrong) <= 9 and all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_rare_marks_beside_many_common_words(spark):
+    rng = random.Random(3)
+    common = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(12_000)]
+    rows, labels = [], []
+    for i in range(60):
+        words = rng.sample(common, len(common))
+        if i % 4 == 0:
+            words.insert(rng.randrange(len(words)), "zzyqwort")
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 2 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    marks = toxicity.fit_detector(docs, "doc_id", "text", labels, "toxic", F.lit(True)).marks
+    assert " zzyqwort " in marks and not any(f" {w} " in marks for w in common)
+
+
 def test_toxicity_of_awkward_rows(spark, edge, empty):
     docs, labels = toxic_table(spark)
     detector = toxicity.fit_detector(docs, "doc_id", "text", labels, "toxic", F.lit(True))
