@@ -1,10 +1,11 @@
 """Operator 8: mix sources to target weights by a low-discrepancy schedule of equal-token blocks.
 
-Every source is shuffled and cut into blocks of equally many words. The slots of the mixture are numbered;
-the golden-ratio point of a slot, mapped through the cumulative targets, names its source, so every
-stretch of the mixture follows the weights closely. Slots are ranked within their source, and the slot of
-rank r takes block r of the shuffled source, starting over after its last one. A document is used as
-often as the blocks that hold its words.
+Every source is shuffled and cut into blocks whose words differ by one at most; a source of a small target
+has smaller blocks. The slots of the mixture are numbered; a source gets as many as its target has blocks,
+and the golden-ratio point of a slot, among the points of all slots, names its source, so every stretch of
+the mixture follows the weights closely. Slots are ranked within their source, and the slot of rank r takes
+block r of the shuffled source, starting over after its last one. A document is used as often as the blocks
+that hold its words.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ STEP = 1327217885
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_BLOCK = 512
 LEAST_SLOTS = 200_000
+LEAST_BLOCKS = 64                  # of a target of as many words: half a block is the most that it is missed by
 ROWS_PER_CELL = 50_000
 SLOTS_PER_CHUNK = 4096
 MAX_SOURCES = 100_000
@@ -33,6 +35,52 @@ class Share:
     size: int
     target: float
 
+    def blocks(self, most_words: int) -> int:
+        """How many blocks the source is cut into, of at most that many words and at most 1/64 of the target."""
+        return -(-self.size // max(1, min(most_words, int(self.target // LEAST_BLOCKS))))
+
+    def slots(self, most_words: int) -> int:
+        return round(self.target * self.blocks(most_words) / self.size) if self.size else 0
+
+
+def points_below(end: int, slots: int) -> int:
+    """How many of the first ``slots`` golden-ratio points are less than ``end``, in logarithmic time."""
+    return slots + floor_sum(slots, CYCLE, STEP, 0) - floor_sum(slots, CYCLE, STEP, CYCLE - end)
+
+
+def floor_sum(n: int, m: int, a: int, b: int) -> int:
+    """The sum of (a * i + b) // m for i from 0 to n - 1."""
+    total = 0
+    while n > 0:
+        total += n * (n - 1) // 2 * (a // m) + n * (b // m)
+        a, b = a % m, b % m
+        n, b = divmod(a * n + b, m)
+        m, a = a, m
+        if not a or not m:
+            break
+    return total
+
+
+def slot_ends(counts: list[int]) -> list[int]:
+    """Rising ends in 0 to CYCLE: exactly counts[i] points of all sum(counts) slots lie below the i-th end and
+    not below the one before."""
+    slots, run, ends = sum(counts), 0, []
+    if slots > CYCLE:
+        raise ValueError("more slots than points: take a larger block")
+    for n in counts:
+        run += n
+        low, high = (ends[-1] if ends else 0), CYCLE
+        if n == 0:
+            high = low
+        while low < high:
+            middle = (low + high) // 2
+            if points_below(middle, slots) < run:
+                low = middle + 1
+            else:
+                high = middle
+        ends.append(low)
+    return ends
+
 
 def share_targets(
     sizes: dict[str | None, int], weights: tuple[float, ...], total: float, most: float
@@ -89,7 +137,7 @@ class Mixture:
         rows = sum(r["n"] for r in sums)
         self.total = share * sum(sizes.values())
         self.shares = share_targets(sizes, weights, self.total, most)
-        self.block = block or max(1, min(MAX_BLOCK, int(self.total // LEAST_SLOTS)))
+        self.block = block or max(1, min(MAX_BLOCK, int(self.total // LEAST_SLOTS)), int(self.total // (CYCLE >> 1)))
         self.cells = max(8 * shuffle_partitions(df), -(-rows // ROWS_PER_CELL))
         ids = identity(*[column(c) for c in df.columns])
         packed_rows = packed(
@@ -109,25 +157,18 @@ class Mixture:
         self.streams = ranked.join(starts, ["g", "cell"]).withColumn(
             "start", F.col("c_start") + F.col("before")
         ).select(
-            "row", "g", "source_size", "target", "cell", "nth", "size", "start"
+            "row", "g", "source_size", "target", "cell", "nth", "size", "start", "blocks", "slots"
         )
 
     def _groups(self) -> DataFrame:
-        rows = [(i, s.source, s.size, s.target, -(-s.size // self.block)) for i, s in enumerate(self.shares)]
-        return self.spark.createDataFrame(rows, "g int, g_source string, source_size long, target double, blocks long")
+        rows = [(i, s.source, s.size, s.target, s.blocks(self.block), s.slots(self.block)) for i, s in enumerate(self.shares)]
+        return self.spark.createDataFrame(
+            rows, "g int, g_source string, source_size long, target double, blocks long, slots long")
 
     def schedule(self) -> DataFrame:
-        """slot, g (number of the source), block, epoch: which block every slot of the mixture takes.
-
-        A source of whose blocks every one is used up ``most`` times leaves later slots of its own empty.
-        """
-        slots = round(self.total / self.block) if self.total else 0
-        ends, run = [], 0.0
-        for s in self.shares:
-            run += s.target
-            ends.append(round(CYCLE * run / self.total) if self.total else 0)
-        if ends:
-            ends[-1] = CYCLE
+        """slot, g (number of the source), block, epoch: which block every slot of the mixture takes."""
+        counts = [s.slots(self.block) for s in self.shares]
+        slots, ends = sum(counts), slot_ends(counts)
         cuts = (F.split(F.lit(",".join(map(str, ends))), ",") if ends else F.array()).cast("array<long>")
         point = (F.col("slot") % CYCLE) * STEP % CYCLE
         ids = self.spark.range(slots).withColumnRenamed("id", "slot")
@@ -145,17 +186,27 @@ class Mixture:
         return placed.select(
             "slot", "g", (F.col("rank") % F.col("blocks")).alias("block"),
             F.floor(F.col("rank") / F.col("blocks")).cast("int").alias("epoch"),
-        ).where(F.col("epoch") < self.most)
+        )
 
     def segments(self) -> DataFrame:
-        """g, cell, nth (which name a row), block, from_word, n_words: the words of a row in each block."""
-        last = F.col("start") + F.col("size")
+        """g, cell, nth (which name a row), block, from_word, n_words: the words of a row in each block.
+
+        The first blocks of a source have a word more than the others if its words cannot be dealt evenly.
+        Blocks that no slot takes are left out.
+        """
+        each = F.expr("source_size div blocks")
+        longer = F.col("source_size") % F.col("blocks")
+        edge = longer * (each + 1)
+        first = lambda block: block * each + F.least(block, longer)
+        holds = lambda word: F.when(
+            word < edge, F.floor(word / (each + 1))).otherwise(longer + F.floor((word - edge) / each)).cast("long")
+        stop = F.col("start") + F.col("size")
         spans = self.streams.where(F.col("size") > 0).select(
-            "g", "cell", "nth", "start", last.alias("stop"),
-            F.explode(F.sequence(F.floor(F.col("start") / self.block), F.floor((last - 1) / self.block))).alias("block"),
-        )
-        low = F.greatest("start", F.col("block") * self.block)
-        high = F.least("stop", (F.col("block") + 1) * self.block)
+            "g", "cell", "nth", "start", stop.alias("stop"), "source_size", "blocks",
+            holds(F.col("start")).alias("low"), F.least(holds(stop - 1), F.col("slots") - 1).alias("high"),
+        ).where(F.col("low") <= F.col("high")).select("*", F.explode(F.sequence("low", "high")).alias("block"))
+        low = F.greatest("start", first(F.col("block")))
+        high = F.least("stop", first(F.col("block") + 1))
         return spans.select(
             "g", "cell", "nth", "block", (low - F.col("start")).alias("from_word"), (high - low).alias("n_words")
         )

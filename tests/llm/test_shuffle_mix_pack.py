@@ -87,6 +87,30 @@ def test_mixture_against_a_plain_version(spark, sf_dir):
     assert all(abs(taken[s] - target[s]) <= max(20, 0.01 * target[s]) for s in target)
 
 
+def test_points_are_counted_exactly():
+    for counts in ([3], [1, 0, 5, 2, 900], [0, 0], [7] * 40, [1, 100_000, 1]):
+        ends = mixture.slot_ends(counts)
+        points = [s * mixture.STEP % mixture.CYCLE for s in range(sum(counts))]
+        got = collections.Counter(sum(e <= p for e in ends) for p in points)
+        assert [got[i] for i in range(len(counts))] == counts
+
+
+@pytest.mark.parametrize("block", [512, 7, 1])
+def test_small_sources_beside_a_huge_one_come_near_their_targets(spark, block):
+    sizes = {f"s{i:02}": n for i, n in enumerate((1, 5, 100, 200, 511, 512, 513, 600, 1025, 1_500_000))}
+    rows = [(i, s, n) for i, (s, n) in enumerate(sizes.items()) if n < 2_000]
+    rows += [(100 + i, "s09", 1_500) for i in range(1_000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, n long")
+    mix = mixture.Mixture(df, "doc_id", "source", F.col("n"), block=block)
+    taken, target, size = collections.Counter(), {}, {}
+    for r in mix.usage().collect():
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        taken[r["source"]] += r["taken"]
+        target[r["source"]], size[r["source"]] = r["target"], r["source_size"]
+    assert size == sizes
+    assert all(abs(taken[s] - target[s]) <= max(1, target[s] / 64) for s in target)
+
+
 def test_mixture_of_awkward_rows(edge, empty):
     mix = mixture.Mixture(edge, "doc_id", "source", mixture.words(F.col("text")), block=2)
     rows = mix.usage().collect()
