@@ -53,12 +53,15 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences; a repeated document has several copies."""
+    """The pieces of all documents, with their tokens, and their places in sequences.
+
+    A repeated document has several copies. The ids of a sequence are those of its pieces by offset.
+    """
     import public_tokenizers
 
     pieces = token_pieces(docs, "doc_id", "text", public_tokenizers.path(TOKENIZER), END_ID, CAPACITY)
-    digests = written(pieces.drop("ids").withColumnRenamed("key", "doc_id"), "pieces")
-    return place(digests, "length", CAPACITY, ["doc_id", "piece", "ids_crc32"])
+    tokens = written(pieces.withColumnRenamed("key", "doc_id"), "pieces")
+    return place(tokens, "length", CAPACITY, ["doc_id", "piece", "ids_crc32"])
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

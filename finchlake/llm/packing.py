@@ -138,3 +138,27 @@ def place(pieces: DataFrame, length: str, capacity: int, by: list[str]) -> DataF
         (F.col("p_sequence") + F.col("rank") - F.col("p_rank")).alias("sequence_id"),
         F.col("p_offset").cast("long").alias("offset"),
     )
+
+
+def sequences(placed: DataFrame, names: list[str]) -> DataFrame:
+    """sequence_id, ids, pieces: the tokens of every sequence, and whose they are.
+
+    ``placed`` is what :func:`place` gives for pieces with ``ids``. ``pieces`` holds offset, length and the
+    columns ``names`` of each piece in order; a sequence has at most as many as it has tokens.
+    """
+    piece = F.struct("offset", F.col("length").cast("int").alias("length"), *[column(n) for n in names], "ids")
+    gathered = placed.groupBy("sequence_id").agg(F.array_sort(F.collect_list(piece)).alias("parts"))
+    kept = [*dict.fromkeys(["offset", "length", *names])]
+    ids = F.aggregate("parts", F.lit(b""), lambda all_ids, p: F.concat(all_ids, p.getField("ids")))
+    return gathered.select(
+        "sequence_id", ids.alias("ids"),
+        F.transform("parts", lambda p: F.struct(*[p.getField(n).alias(n) for n in kept])).alias("pieces"))
+
+
+def pieces_of(packed_sequences: DataFrame) -> DataFrame:
+    """The pieces again, one a row, with ``sequence_id`` and the ``ids`` that their sequence holds for them."""
+    cut = lambda p: F.col("ids").substr(
+        (4 * p.getField("offset") + 1).cast("int"), 4 * p.getField("length"))
+    parts = F.transform("pieces", lambda p: F.struct(p.alias("piece_of"), cut(p).alias("ids")))
+    return packed_sequences.select("sequence_id", F.explode(parts).alias("part")).select(
+        "part.piece_of.*", "sequence_id", F.col("part.ids").alias("ids"))

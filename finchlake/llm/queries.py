@@ -15,7 +15,7 @@ from finchlake.llm.layout_text import with_layout_text
 from finchlake.llm.line_runs import drop_repeated_lines
 from finchlake.llm.mixture import Mixture, words
 from finchlake.llm.order_minhash import order_minhash
-from finchlake.llm.packing import place, token_pieces
+from finchlake.llm.packing import pieces_of, place, sequences, token_pieces
 from finchlake.llm.probminhash import near_duplicate_classes
 from finchlake.llm.topk_search import quantized, top_k
 from finchlake.llm.toxicity import fit_detector, with_toxicity
@@ -148,10 +148,12 @@ CAPACITY = 2048
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     pieces = token_pieces(docs, "doc_id", "text", tokenizer_path("word_bpe_49k.json"), 0, CAPACITY)
-    digests = written(pieces.drop("ids").withColumnRenamed("key", "doc_id"), "pieces")
-    placed = place(digests, "length", CAPACITY, ["doc_id", "piece", "ids_crc32"])
-    return placed.select(
-        "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
+    tokens = written(pieces.withColumnRenamed("key", "doc_id"), "pieces")
+    placed = place(tokens, "length", CAPACITY, ["doc_id", "piece", "ids_crc32"])
+    packed = written(sequences(placed, ["doc_id", "piece", "start"]), "sequences")
+    return pieces_of(packed).select(
+        "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"),
+        "sequence_id", "offset")
 
 
 @query("op10_order_minhash")

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from finchlake.llm import hypershuffle, mixture, packing
 from finchlake.llm.queries import QUERIES
 
@@ -190,3 +191,29 @@ def test_packing_of_awkward_rows(edge, empty):
     assert len(set(places)) == len(places)
     none = packing.token_pieces(empty, "doc_id", "text", path, 0, 100).drop("ids")
     assert packing.place(none, "length", 100, ["key", "piece"]).count() == 0
+
+
+def test_sequences_hold_the_tokens(edge, empty, spark, tmp_path):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    pieces = packing.token_pieces(edge, "doc_id", "text", path, 0, 100)
+    packed = packing.sequences(packing.place(pieces, "length", 100, ["key", "piece", "ids_crc32"]), ["key", "piece"])
+    texts, rows = collections.Counter(), packed.collect()
+    for r in rows:
+        assert 0 < len(r["ids"]) <= 400 and sum(4 * p["length"] for p in r["pieces"]) == len(r["ids"])
+    for r in packing.pieces_of(packed).collect():
+        texts[r["key"], r["piece"], bytes(r["ids"])] += 1
+    want = collections.Counter()
+    for r in edge.collect():
+        ids = np.array(tokenizer.encode(r["text"] or "", add_special_tokens=False).ids + [0], dtype="<u4")
+        for piece, at in enumerate(range(0, len(ids), 100)):
+            want[r["doc_id"], piece, ids[at:at + 100].tobytes()] += 1
+    assert texts == want
+    none = packing.token_pieces(empty, "doc_id", "text", path, 0, 100)
+    assert packing.sequences(packing.place(none, "length", 100, ["key", "piece"]), ["key"]).count() == 0
+
+
+def test_pipeline_keeps_the_tokens(spark, edge):
+    docs = edge.select("doc_id", "text")
+    rows = corpus_pipeline.packing(spark, docs, "").collect()
+    assert rows and all(len(r["ids"]) == 4 * r["length"] and zlib.crc32(r["ids"]) == r["ids_crc32"] for r in rows)
