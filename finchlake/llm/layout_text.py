@@ -3,7 +3,7 @@
 The markup is read into a tree, with the end tags that HTML lets one leave out. The tree is then walked
 once, without recursion, and laid out like a page: blocks on lines of their own, paragraphs and headings
 apart by an empty line, list items with their markers and indents, tables with aligned columns. Whatever a
-reader of the page would see is emitted; scripts, styles, hidden elements and closed details are not.
+reader of the page would see is emitted, labels of SVG and formulas of MathML too; scripts, styles, hidden elements and closed details are not.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from finchlake.llm.common import packed, small_batches, text_or_empty, unpacked
 # Elements by how HTML treats them.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 NEVER_SHOWN = set(
-    "head title script style template noscript iframe object video audio canvas svg math datalist rp param "
+    "head title script style template noscript iframe object video audio canvas datalist rp param "
     "noembed noframes select".split()
 )
 BLOCKS = set(
@@ -46,6 +46,16 @@ IMPLIED = {
     "rt": ({"rt", "rp"}, {"ruby"}), "rp": ({"rt", "rp"}, {"ruby"}),
     "body": ({"head"}, {"html"}),
 }
+# Foreign content: parts that are not drawn, elements that hold HTML or text, HTML start tags that end it.
+NOT_DRAWN = {
+    "svg": set("defs metadata title desc symbol clippath mask pattern marker style script filter".split()),
+    "math": set("annotation annotation-xml mphantom".split()),
+}
+HOLDS_HTML = {"svg": {"foreignobject", "desc", "title"}, "math": {"mi", "mo", "mn", "ms", "mtext", "annotation-xml"}}
+BREAKS_OUT = set(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+    "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
 FORMATTING = set("a b big code em font i nobr s small strike strong tt u".split())
 HEAD_ONLY = set("base link meta noscript script style template title head html".split())
 SPACES = re.compile(r"[ \t\n\r\f]+")
@@ -53,10 +63,13 @@ DECLARED = re.compile(r"(display|visibility)\s*:\s*([a-z-]+)")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    """``kind`` is svg or math for their elements, else empty; ``within`` is the kind of its children."""
+
+    __slots__ = ("tag", "attrs", "children", "kind", "within")
 
-    def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.children = tag, attrs, []
+    def __init__(self, tag: str, attrs: dict[str, str], kind: str = ""):
+        self.tag, self.attrs, self.children, self.kind = tag, attrs, [], kind
+        self.within = "" if kind and tag in HOLDS_HTML[kind] else kind
 
 
 class TreeBuilder(HTMLParser):
@@ -68,6 +81,11 @@ class TreeBuilder(HTMLParser):
         self.open = [self.root]
 
     def parse_marked_section(self, i: int, report: int = 1) -> int:
+        if self.open[-1].within and self.rawdata.startswith("<![CDATA[", i):
+            end = self.rawdata.find("]]>", i)
+            if end >= 0:
+                self.handle_data(self.rawdata[i + 9:end])
+                return end + 3
         end = self.rawdata.find(">", i)
         return -1 if end < 0 else end + 1
 
@@ -77,13 +95,15 @@ class TreeBuilder(HTMLParser):
         for at in range(len(self.open) - 1, 0, -1):
             if self.open[at].tag in tags:
                 found = at
-            elif self.open[at].tag in barriers:
+            elif self.open[at].tag in barriers or self.open[at].kind and not self.open[at].within:
                 break
         if found is not None:
             del self.open[found:]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         named = {k: v or "" for k, v in reversed(attrs)}
+        if self._foreign(tag, named, False):
+            return
         if tag == "html" or (tag == "body" and any(n.tag == "body" for n in self.open)):
             target = self.root if tag == "html" else next(n for n in self.open if n.tag == "body")
             target.attrs = {**named, **target.attrs}
@@ -105,7 +125,28 @@ class TreeBuilder(HTMLParser):
             self.open.append(node)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)  # a slash means nothing in HTML
+        if not self._foreign(tag, {k: v or "" for k, v in reversed(attrs)}, True):
+            self.handle_starttag(tag, attrs)  # a slash means nothing in HTML
+
+    def _break_out(self) -> None:
+        while self.open[-1].within:
+            self.open.pop()
+
+    def _foreign(self, tag: str, attrs: dict[str, str], ended: bool) -> bool:
+        """Add an element of svg or math, open unless ``ended``; False for one of HTML, which ends them if a block."""
+        kind = self.open[-1].within
+        if kind and (tag in BREAKS_OUT or (tag == "font" and attrs.keys() & {"color", "face", "size"})):
+            self._break_out()
+            return False
+        if not kind and tag not in NOT_DRAWN:
+            return False
+        if not kind and self.open[-1].tag == "head":
+            self._close_to({"head"}, {"html"})
+        node = Node(tag, attrs, kind or tag)
+        self.open[-1].children.append(node)
+        if not ended:
+            self.open.append(node)
+        return True
 
     def _push(self, tag: str, attrs: dict[str, str]) -> None:
         node = Node(tag, attrs)
@@ -113,6 +154,8 @@ class TreeBuilder(HTMLParser):
         self.open.append(node)
 
     def handle_endtag(self, tag: str) -> None:
+        if tag in ("br", "p"):
+            self._break_out()
         if tag == "br":
             self.open[-1].children.append(Node("br", {}))
             return
@@ -120,13 +163,17 @@ class TreeBuilder(HTMLParser):
             return
         crossed = False  # a block within the element, which an inline end tag does not end
         for at in range(len(self.open) - 1, 0, -1):
-            inner = self.open[at].tag
+            inner, kind = self.open[at].tag, self.open[at].kind
             if inner == tag:
-                if not crossed or tag in BLOCKS | BARRIERS | NEVER_SHOWN:
+                if not crossed or kind or tag in BLOCKS | BARRIERS | NEVER_SHOWN:
                     del self.open[at:]
                 elif tag in FORMATTING:
                     del self.open[at]
                 return
+            if kind:
+                if not self.open[at].within and not any(n.kind and n.tag == tag for n in self.open[1:at]):
+                    break  # HTML around foreign content is not ended from within its parts
+                continue
             if inner in BARRIERS and tag not in ("table", "tr", "tbody", "thead", "tfoot"):
                 break
             crossed = crossed or inner in BLOCKS - {"option", "optgroup"}
@@ -267,7 +314,7 @@ def rendered(html: str) -> str:
     builder.close()
     page = Flow()
     # What is still to do: (node or string, flow, state) on entry, or a function on exit.
-    todo: list = [(builder.root, page, {"kept": False, "shown": True, "table": None, "list": None})]
+    todo: list = [(builder.root, page, {"kept": False, "shown": True, "table": None, "list": None, "kind": ""})]
     while todo:
         step = todo.pop()
         if callable(step):
@@ -275,6 +322,8 @@ def rendered(html: str) -> str:
             continue
         node, flow, state = step
         if isinstance(node, str):
+            if state["kind"] == "svg" or (state["kind"] == "math" and not node.strip()):
+                continue  # only the text elements of svg are drawn
             if state["shown"] and (state["table"] is None or node.strip()):
                 flow.text(node, state["kept"])  # text between the parts of a table stands before it
             continue
@@ -289,6 +338,24 @@ def rendered(html: str) -> str:
         if style.get("visibility"):
             state = {**state, "shown": style["visibility"] not in ("hidden", "collapse")}
         children = node.children
+        if node.kind:
+            if tag in NOT_DRAWN[node.kind] or (node.kind == "svg" and attrs.get("display") == "none"):
+                continue
+            if node.kind == "svg" and attrs.get("visibility") and not style.get("visibility"):
+                state = {**state, "shown": attrs["visibility"] not in ("hidden", "collapse")}
+            if tag in ("text", "foreignobject") or (tag == "math" and attrs.get("display") == "block"):
+                flow.apart(1)
+                todo.append(lambda flow=flow: flow.apart(1))
+            if tag in ("svg", "math"):
+                state = {**state, "table": None, "list": None, "kind": tag}
+            elif tag == "text" or not node.within:
+                state = {**state, "kind": ""}
+            if tag in ("mfrac", "mtr", "mtable"):  # parts that stand apart
+                children = [part for c in children if isinstance(c, Node) for part in (c, Node("mtext", {}, "math"))]
+                for part in children[1:-1:2]:
+                    part.children.append(" ")
+            todo.extend((child, flow, state) for child in reversed(children))
+            continue
         if tag == "br":
             if state["shown"]:
                 flow.line_break()

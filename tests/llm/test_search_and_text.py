@@ -153,6 +153,21 @@ def test_layout(html, text):
     assert layout_text.rendered(html).lstrip() == text.lstrip()
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<svg><title>no</title><defs><text>no</text></defs><g><text>Q1 <tspan>sales</tspan></text><text>Q2</text></g></svg>", "Q1 sales\nQ2"),
+    ("<svg/>rest", "rest"), ("a <math/> rest", "a rest"), ("<p>a<svg><path d='x'/><circle/></svg> b</p><p>c", "a b\n\nc"),
+    ("<p>let <math> <mi>x</mi> <mo>=</mo> <mn>1</mn> <annotation>no</annotation></math> be", "let x=1 be"),
+    ("<math><mfrac><mn>1</mn><mn>2</mn></mfrac></math>", "1 2"),
+    ("<svg><g><div>one</div>two<p>three", "one\ntwo\n\nthree"), ("<math><mi>x<p>y</p>z", "x\n\ny\n\nz"),
+    ("<div><svg><g></div>after", "after"), ("<p>a<svg><foreignObject><p>in</p></foreignObject></svg>b", "a\nin\n\nb"),
+    ("<svg><foreignObject><div>in</svg>out", "in\nout"), ("<svg><text><![CDATA[a > b]]></text></svg>", "a > b"),
+    ("<svg display=none><text>no</text></svg><svg><text visibility=hidden>no</text></svg>yes", "yes"),
+])
+def test_foreign_content(html, text):
+    got = [line for line in layout_text.rendered(html).split("\n") if line]
+    assert got == [line for line in text.split("\n") if line]
+
+
 def test_deep_and_broken_markup():
     deep = "<div>" * 5000 + "x" + "<table><tr><td>" * 300 + "y"
     assert layout_text.rendered(deep).split() == ["x", "y"]
