@@ -6,8 +6,11 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from finchlake.session import written
+
 ROWS_PER_BUCKET = 100_000
 MAX_BUCKETS = 20_000
+ROW_BITS = 33   # monotonically_increasing_id keeps the row's number in its partition in so many low bits
 
 
 def ordinal(df: DataFrame, key: str, into: str = "ord", buckets: int | None = None) -> tuple[DataFrame, int]:
@@ -49,6 +52,30 @@ def ordinal(df: DataFrame, key: str, into: str = "ord", buckets: int | None = No
     return bucketed(df).withColumn(into, offset + within).drop("_b"), total
 
 
+def positions(df: DataFrame, by: list[str | Column], into: str = "ord") -> tuple[DataFrame, int]:
+    """Add the 0-based position of every row in the order ``by``, for keys of any kind; also the row count.
+
+    ``by`` holds columns or sort expressions (text, several columns, descending). Rows are dealt to ranges of
+    the order, sorted within them and written once, with the number that Spark gives a row of a range; ranges
+    are then shifted by the sizes of the earlier ones, one number each. One exchange, and no range holds more
+    than its part of the rows unless they are equal in ``by``; such ties get neighbouring positions in any
+    order. Being written, positions stay when a task is repeated. An empty table gives no rows.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(MAX_BUCKETS, max(tasks, -(-df.count() // ROWS_PER_BUCKET)))
+    ranged = df.repartitionByRange(ranges, *by).sortWithinPartitions(*by)
+    numbered = written(ranged.withColumn("_at", F.monotonically_increasing_id()), "positions")
+    part = F.shiftright("_at", ROW_BITS).cast("int")
+    sizes = {r["part"]: r["n"] for r in numbered.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    starts, total = [], 0
+    for i in range(ranges):
+        starts.append(total)
+        total += sizes.get(i, 0)
+    shifts = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<long>")
+    within = F.col("_at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    return numbered.withColumn(into, F.get(shifts, part) + within).drop("_at"), total
+
+
 def train_size(total: int, share: float) -> int:
     return int(share * total)
 
