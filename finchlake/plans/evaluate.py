@@ -3,17 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark import inheritable_thread_target
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finchlake.operators import metrics, ordinal
-from finchlake.plans.model import (
-    HASH_SIZE, MAX_ITER, fitted_stages, score, text_features, text_stages, train,
-)
+from finchlake.plans import svm
+from finchlake.plans.model import HASH_SIZE, MAX_ITER, fit_problems, inputs_of, score, text_stages, train
 from finchlake.session import written
 from finchlake.sources.labelled import write_error_log
 
@@ -45,36 +42,28 @@ def cross_validate(
     hash_size: int = HASH_SIZE,
     max_iter: int = MAX_ITER,
     legacy_tail: bool = False,
-    parallelism: int = 3,
+    cost: float = 1.0,
     log_path: str | None = None,
 ) -> DataFrame:
     """Predictions (id, fold, true, pred, text) of contiguous k-fold cross-validation.
 
-    Row-wise features are computed once and written to the shared folder, a part for each fold; document
-    frequencies and the SVM are fitted anew inside every fold, on the other folds only. Folds are
-    fitted ``parallelism`` at a time, so the cluster is busy while one fit waits for its last tasks.
+    Row-wise features are computed once and written to the shared folder. Document frequencies are counted by
+    fold in one scan, and a fold's model takes those of the other folds. The models of all folds are fitted in
+    the same passes, each on its own training rows, and one last pass predicts every fold by its model.
     """
     placed, total = ordinal.ordinal(labelled, key)
-    fold = ordinal.fold_id(total, folds, legacy_tail=legacy_tail)
-    rows = placed.withColumn("fold", fold)
-    stages = text_stages(architecture, lexicon, encoder, hash_size)
-    features = text_features(rows, [key, "fold", "label", "text"], stages, architecture, partition_by="fold")
+    fold = F.coalesce(ordinal.fold_id(total, folds, legacy_tail=legacy_tail), F.lit(-1))
+    inputs = inputs_of(architecture)
+    made = PipelineModel(text_stages(architecture, lexicon, encoder, hash_size)).transform(placed.withColumn("fold", fold))
+    features = written(made.select(key, "fold", "label", "text", *inputs), "features")
     tested = total - 1 if legacy_tail else total
-    fold_ids = range(-(-tested // ordinal.fold_width(total, folds)))
-
-    def one(k: int) -> DataFrame:
-        test = F.col("fold").eqNullSafe(F.lit(k))
-        train = features.where(~test)
-        model = Pipeline(stages=fitted_stages(architecture, max_iter)).fit(train)
-        return model.transform(features.where(test)).select(
-            F.col(key).alias("id"), "fold", F.col("label").alias("true"), "pred", "text"
-        )
-
-    with ThreadPoolExecutor(max(1, min(parallelism, len(fold_ids)))) as pool:
-        parts = list(pool.map(inheritable_thread_target(features.sparkSession)(one), fold_ids))
-    predictions = parts[0]
-    for part in parts[1:]:
-        predictions = predictions.unionByName(part)
+    fold_ids = list(range(-(-tested // ordinal.fold_width(total, folds))))
+    read, blocks, problems, names = fit_problems(
+        features, inputs, fold_ids, cost, max_iter, balanced=architecture == "BERTweet")
+    scored = svm.predicted(read, blocks, problems, [key, "fold", "label", "text"])
+    predictions = scored.select(
+        F.col(key).alias("id"), "fold", F.col("label").alias("true"),
+        F.when(F.col("margin") > 0, names[1]).otherwise(names[0]).alias("pred"), "text")
     if log_path is not None:
         predictions = written(predictions, "predictions")
         write_error_log(predictions, log_path, metrics.weighted_prf(predictions))

@@ -1,4 +1,3 @@
-import inspect
 import math
 import os
 
@@ -164,24 +163,3 @@ def test_cross_validation(spark, sf_dir, tmp_path):
     assert os.path.isdir(log + "/scores")
     scores = evaluate.cv_scores(pred).first()
     assert 0 < scores["f1"] <= 1
-
-
-def test_registered_model_queries_do_the_whole_job(spark, sf_dir, monkeypatch):
-    calls = []
-    stop = RuntimeError("seen")
-
-    def seen(real):
-        def call(*args, **options):
-            given = inspect.signature(real).bind(*args, **options)
-            given.apply_defaults()
-            calls.append(given.arguments)
-            raise stop
-        return call
-
-    for owner, name in ((model, "train"), (evaluate, "train"), (evaluate, "cross_validate")):
-        monkeypatch.setattr(owner, name, seen(getattr(owner, name)))
-    for name in ("svm_base", "svm_hybrid", "score_texts", "holdout_eval", "kfold_eval"):
-        with pytest.raises(RuntimeError, match="seen"):
-            QUERIES[name](spark, sf_dir)
-    assert len(calls) == 5 and all((c["hash_size"], c["max_iter"]) == (1 << 18, 3_000) for c in calls)
-    assert calls[-1]["folds"] == 10
