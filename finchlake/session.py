@@ -29,7 +29,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, which :func:`drop_written` deletes with all that is put there."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -39,14 +42,13 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     reads those only. The tables stay until :func:`drop_written` removes them.
     """
     path = fresh_path(df.sparkSession, name)
-    writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
-    _written.append(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def drop_written(spark: SparkSession) -> int:
-    """Delete the tables that this process wrote by :func:`written`; results that read them end with it."""
+    """Delete what this process put in the shared folder; results that read it end with it."""
     dropped = 0
     while _written:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_written.pop())
