@@ -27,8 +27,17 @@ _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 
 
+def _bytes(ids: Iterable[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class PieceEncoder(dict):
-    """``ids(text)``: little-endian unsigned 32-bit ids of the whole text, without special tokens.
+    """``ids(text)``: little-endian unsigned 32-bit ids of the whole text, as the library gives them.
+
+    No special tokens are put around a text; the string of one in a text gets its id.
 
     The dictionary itself holds the ids of known pieces; a missing one is looked for among those of the
     generation before, and encoded at last.
@@ -39,7 +48,9 @@ class PieceEncoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [token.content for token in added]   # a text that holds one of these is cut there first
+        self.folded = [token.content.lower() for token in added if token.normalized]
         self.model, self.drops_space = self.tokenizer.model, drops_space
         self.split = str.split if drops_space else WITH_SPACE.findall
         self.old: dict[str, bytes] = {}
@@ -47,12 +58,11 @@ class PieceEncoder(dict):
     def _encoded(self, text: str) -> bytes:
         word = self._one_word(text)
         if word is None:
-            ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
-        else:
-            ids = array("I", [token.id for token in self.model.tokenize(word)])
-        if sys.byteorder == "big":
-            ids.byteswap()
-        return ids.tobytes()
+            return self._whole(text)
+        return _bytes(token.id for token in self.model.tokenize(word))
+
+    def _whole(self, text: str) -> bytes:
+        return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _one_word(self, piece: str) -> str | None:
         """A piece of letters only, as the tokenizer's own model takes it; None for any other piece.
@@ -72,8 +82,8 @@ class PieceEncoder(dict):
     def __missing__(self, piece: str) -> bytes:
         known = self.old.get(piece)
         if known is None:
-            # Both vocabularies end a piece between a letter and a full stop or comma.
-            if piece[-1] in ".," and len(piece) > 1 and piece[-2].isalpha():
+            # Both vocabularies end a piece between plain letters and a full stop or comma.
+            if piece[-1] in ".," and len(piece) > 1 and self._one_word(piece[:-1]) is not None:
                 known = self[piece[:-1]] + self[piece[-1]]
             else:
                 known = self._encoded(piece)
@@ -81,8 +91,9 @@ class PieceEncoder(dict):
         return known
 
     def ids(self, text: str) -> bytes:
-        if any(c in text for c in UNSURE):
-            return self._encoded(text)
+        if any(c in text for c in UNSURE) or any(s in text for s in self.added) or (
+                self.folded and any(s in text.lower() for s in self.folded)):
+            return self._whole(text)
         out = b"".join(map(self.__getitem__, self.split(text)))
         if len(self) > PIECES_KEPT:  # the pieces of late live on, the others go
             self.old = dict(self)

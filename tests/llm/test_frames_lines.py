@@ -46,13 +46,21 @@ def test_file_format():
 def test_pieces_give_the_ids_of_whole_texts(name, drops, documents, monkeypatch):
     monkeypatch.setattr(tokenizing, "PIECES_KEPT", 500)
     encode = tokenizing.PieceEncoder(public_tokenizers.path(name), drops)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
     texts = [r["text"] or "" for r in documents.collect()] + [
         "", " ", "  \n\n a  b\t.", "a.b, c.", "é. à,, .,", "don't. they've,", "q́, <|endoftext|>. ", "x\x1cy\xa0 z　.", "日本語。テスト.", "ﬁ①. Ⅷ,"]
     rng = random.Random(6)
     texts += ["".join(rng.choice("aB é.,1' \n\n  \t\xa0\r\0") for _ in range(rng.randrange(12))) for _ in range(3000)]
-    for text in texts:
-        want = np.array(encode.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-        assert encode.ids(text) == want.tobytes()
+    scripts = [(0x20, 0x250), (0x370, 0x530), (0x590, 0x700), (0x900, 0xE00), (0x1E00, 0x2100), (0x3040, 0x3100),
+               (0xAC00, 0xAD00), (0xFB00, 0xFB50), (0x1F600, 0x1F650)]
+    signs = [chr(c) for a, b in scripts for c in range(a, b)]
+    parts = [" ", " ", "\n", ".", ",", "the", "The ", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "\u0301", "İ."]
+    texts += ["".join(rng.choice(parts if rng.random() < 0.4 else signs) for _ in range(rng.randrange(16))) for _ in range(20_000)]
+    texts += [c + sign + c for sign in ".," for c in map(chr, range(0x110000)) if c.isalpha() and not "\u4e00" < c < "\u9fff"
+              and not "\U00017000" < c]
+    wanted = tokenizer.encode_batch(texts, add_special_tokens=False)
+    for text, want in zip(texts, wanted):
+        assert encode.ids(text) == np.array(want.ids, "<u4").tobytes(), repr(text)
 
 
 def test_frames_query_against_the_tokenizer(spark, sf_dir, documents):
