@@ -14,7 +14,7 @@ from finchlake.llm.layout_text import with_layout_text
 from finchlake.llm.line_runs import drop_repeated_lines
 from finchlake.llm.mixture import Mixture, words
 from finchlake.llm.order_minhash import order_minhash
-from finchlake.llm.packing import pieces_of, place, sequences, token_pieces
+from finchlake.llm.packing import crc32_of, pieces_of, place, sequences, token_pieces
 from finchlake.llm.probminhash import near_duplicate_classes
 from finchlake.llm.product_codes import product_codes
 from finchlake.llm.quality_gam import fit_quality, with_quality
@@ -149,12 +149,13 @@ CAPACITY = 2048
 @query("op9_histogram_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    pieces = token_pieces(docs, "doc_id", "text", tokenizer_path("word_bpe_49k.json"), 0, CAPACITY)
+    pieces = token_pieces(docs, "doc_id", "text", tokenizer_path("word_bpe_49k.json"), 0, CAPACITY, id_bytes=2)
     tokens = written(pieces.withColumnRenamed("key", "doc_id"), "pieces")
     placed = place(tokens, "length", CAPACITY, ["doc_id", "piece", "ids_crc32"])
     packed = written(sequences(placed, ["doc_id", "piece", "start"]), "sequences")
-    return pieces_of(packed).select(
-        "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"),
+    return pieces_of(packed, id_bytes=2).select(
+        "doc_id", "piece", "start", F.col("length").cast("long").alias("length"),
+        crc32_of(F.col("ids"), id_bytes=2).alias("ids_crc32"),
         "sequence_id", "offset")
 
 

@@ -213,6 +213,15 @@ def test_sequences_hold_the_tokens(edge, empty, spark, tmp_path):
     assert packing.sequences(packing.place(none, "length", 100, ["key", "piece"]), ["key"]).count() == 0
 
 
+def test_narrow_ids(spark):
+    ids = np.array([0, 7, 65_535], dtype="<u4").tobytes()
+    assert packing.narrowed(ids, 4) == ids and np.frombuffer(packing.narrowed(ids, 2), "<u2").tolist() == [0, 7, 65_535]
+    with pytest.raises(ValueError):
+        packing.narrowed(np.array([65_536], dtype="<u4").tobytes(), 2)
+    df = spark.createDataFrame([(bytearray(packing.narrowed(ids, 2)),), (bytearray(),)], "ids binary")
+    assert [r[0] for r in df.select(packing.crc32_of(F.col("ids"), 2)).collect()] == [zlib.crc32(ids), 0]
+
+
 def test_pipeline_keeps_the_tokens(spark, edge):
     docs = edge.select("doc_id", "text")
     rows = corpus_pipeline.packing(spark, docs, "").collect()
