@@ -85,6 +85,8 @@ class PieceEncoder(dict):
             # Both vocabularies end a piece between plain letters and a full stop or comma.
             if piece[-1] in ".," and len(piece) > 1 and self._one_word(piece[:-1]) is not None:
                 known = self[piece[:-1]] + self[piece[-1]]
+            elif self.drops_space and piece != piece.lower() and self._one_word(piece) is not None:
+                known = self[piece.lower()]   # this vocabulary takes plain words without regard to case
             else:
                 known = self._encoded(piece)
         self[piece] = known
