@@ -39,6 +39,7 @@ class Block:
     name: str
     size: int
     weighted: bool = True
+    dense: bool = False
 
 
 @dataclass
@@ -66,7 +67,7 @@ class Rows:
             values = vectors.field("values")
             lengths = np.diff(values.offsets.to_numpy())
             numbers = values.flatten().to_numpy().astype(np.float64)
-            slots = vectors.field("indices").flatten().to_numpy().astype(np.int64) if block.weighted else np.tile(
+            slots = vectors.field("indices").flatten().to_numpy().astype(np.int64) if not block.dense else np.tile(
                 np.arange(block.size), self.n)
             self.blocks.append((slots, numbers, np.repeat(np.arange(self.n), lengths)))
 

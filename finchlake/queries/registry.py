@@ -19,7 +19,7 @@ from finchlake.operators import lexicon as lx
 from finchlake.operators import metrics, ordinal, terms, vocabulary
 from finchlake.operators.lookup import substitute_tokens
 from finchlake.operators.rows import element_rows
-from finchlake.plans import evaluate, model, preprocess
+from finchlake.plans import evaluate, exact, model, preprocess
 from finchlake.plans.features import character_profile, embed, hashed_projection
 from finchlake.queries import fixtures as fx
 from finchlake.queries import sql as q
@@ -455,6 +455,52 @@ def tfidf_union(spark, sf_dir):
     )
 
 
+def _block_counts(spark, sf_dir) -> DataFrame:
+    return written(terms.feature_union({
+        "word": word_term_counts(spark, sf_dir), "char": char_term_counts(spark, sf_dir),
+    }), "counts")
+
+
+_INDEXED_SQL = (
+    "indexed AS (SELECT 'word' AS block, term, df, row_number() OVER (ORDER BY term) - 1 AS index FROM ww_df "
+    "UNION ALL SELECT 'char', term, df, row_number() OVER (ORDER BY term) - 1 FROM cw_df)"
+)
+
+
+@query("feature_names", q.with_(
+    *q.TERM_CTES, *q.CHAR_CTES, q.tfidf("ww", "terms"), q.tfidf("cw", "grams_tf"), _INDEXED_SQL
+) + (
+    "SELECT block, index, term, df, round(ln((1 + n) / (1 + df)) + 1, 6) AS idf "
+    "FROM indexed, (SELECT count(*)::DOUBLE AS n FROM documents)"
+))
+def feature_names(spark, sf_dir):
+    """The exact vocabulary: every term of both blocks with its place in the vector."""
+    names = exact.dictionary(_block_counts(spark, sf_dir))[0]
+    return names.select("block", "index", "term", "df", F.round(terms.idf(F.col("df"), _n_docs(spark, sf_dir)), 6).alias("idf"))
+
+
+@query("tfidf_vectors", q.with_(
+    *q.TERM_CTES, *q.CHAR_CTES, q.tfidf("ww", "terms"), q.tfidf("cw", "grams_tf"), _INDEXED_SQL
+) + (
+    "SELECT doc_id, block, count(*) AS n, min(index) AS first_index, max(index) AS last_index, "
+    "round(sum(weight), 6) AS total, round(sum(weight * (index % 1009)), 3) AS moment "
+    "FROM (SELECT 'word' AS block, doc_id, term, weight FROM ww UNION ALL SELECT 'char', doc_id, term, weight FROM cw) "
+    "JOIN indexed USING (block, term) GROUP BY ALL"
+))
+def tfidf_vectors(spark, sf_dir):
+    """Sparse vectors over the exact vocabulary, seen by sums over their entries."""
+    counts = _block_counts(spark, sf_dir)
+    fitted, sizes = exact.dictionary(counts)
+    entries = exact.tfidf_entries(counts, fitted, "doc_id", _n_docs(spark, sf_dir))
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id")
+    vectors = exact.sparse_vectors(entries.withColumnRenamed("weight", "value"), docs, "doc_id", sizes)
+    back = exact.vector_entries(vectors, "doc_id", list(sizes))
+    return back.groupBy("doc_id", "block").agg(
+        F.count(F.lit(1)).alias("n"), F.min("index").cast("long").alias("first_index"),
+        F.max("index").cast("long").alias("last_index"), F.round(F.sum("value"), 6).alias("total"),
+        F.round(F.sum(F.col("value") * (F.col("index") % 1009)), 3).alias("moment"))
+
+
 TOP_FEATURES = 200
 
 
@@ -489,6 +535,19 @@ def ordinal_rows(spark, sf_dir):
     return ordinal.ordinal(docs, "doc_id", buckets=16)[0]
 
 
+@query("ordinal_turns", "SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id DESC, turn) - 1 AS ord FROM conversations")
+def ordinal_turns(spark, sf_dir):
+    """Positions by a key of two columns, one of them descending."""
+    turns = fx.table(spark, sf_dir, "conversations").select("conv_id", "turn")
+    return ordinal.positions(turns, [F.desc("conv_id"), "turn"])[0]
+
+
+@query("ordinal_text", "SELECT text, row_number() OVER (ORDER BY text) - 1 AS ord FROM (SELECT DISTINCT text FROM documents)")
+def ordinal_text(spark, sf_dir):
+    """Positions by a text key."""
+    return ordinal.positions(fx.table(spark, sf_dir, "documents").select("text").distinct(), ["text"])[0]
+
+
 @query("holdout_split", q.with_(q.NOISY, q.LABELLED, q.placed("placed", "labelled")) + (
     "SELECT doc_id, label, CASE WHEN ord < floor(0.8 * total) THEN 'train' ELSE 'test' END AS part FROM placed"
 ))
