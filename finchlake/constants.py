@@ -106,3 +106,20 @@ SKIN_TONES = [
     "light_skin_tone", "medium-light_skin_tone", "medium_skin_tone", "medium-dark_skin_tone",
     "dark_skin_tone",
 ]
+
+# Irregular forms and their lemmas by word class, English.
+IRREGULAR_LEMMAS = {
+    "n": {
+        "children": "child", "feet": "foot", "geese": "goose", "men": "man", "mice": "mouse", "oxen": "ox",
+        "teeth": "tooth", "women": "woman", "wives": "wife", "lives": "life", "knives": "knife", "leaves": "leaf",
+    },
+    "v": {
+        "am": "be", "are": "be", "is": "be", "was": "be", "were": "be", "been": "be", "has": "have", "had": "have",
+        "does": "do", "did": "do", "done": "do", "went": "go", "gone": "go", "said": "say", "made": "make",
+        "took": "take", "taken": "take", "got": "get", "came": "come", "saw": "see", "seen": "see", "knew": "know",
+        "known": "know", "thought": "think", "gave": "give", "given": "give", "found": "find", "told": "tell",
+        "felt": "feel", "left": "leave", "bought": "buy", "brought": "bring", "kept": "keep", "began": "begin",
+    },
+    "a": {"better": "good", "best": "good", "worse": "bad", "worst": "bad"},
+    "r": {"better": "well", "best": "well", "worse": "badly", "worst": "badly"},
+}

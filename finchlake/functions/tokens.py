@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import html.entities
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -158,6 +158,26 @@ def wordnet_class(tag: Column) -> Column:
     return branches.otherwise(F.lit("n"))
 
 
+def tag_by_ending(token: Column) -> Column:
+    """A Penn tag guessed from the ending, for texts that come without tags."""
+    return (
+        F.when(token.endswith("ing"), "VBG").when(token.endswith("ed"), "VBD")
+        .when(token.endswith("ly"), "RB").when(token.endswith("er"), "JJR")
+        .when(token.endswith("est"), "JJS").otherwise("NN")
+    )
+
+
+def lemmatized(tokens: Column, lemmas: dict[str, str], tag: Callable[[Column], Column] = tag_by_ending) -> Column:
+    """Tokens replaced by their lemma from ``lemmas`` (class:word -> lemma) inside the row; others stay.
+
+    The table is one literal in buckets, of which a token reads one, so it suits streams and fitted stages.
+    """
+    if not lemmas:
+        return tokens
+    return F.transform(tokens, lambda t: F.coalesce(
+        named_value(lemmas, F.concat(wordnet_class(tag(t)), F.lit(":"), t)), t))
+
+
 def drop_stopwords(
     tokens: Column,
     keep_negations: bool = True,

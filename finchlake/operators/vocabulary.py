@@ -11,11 +11,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finchlake.constants import DETACHMENT_RULES
+from finchlake.constants import DETACHMENT_RULES, IRREGULAR_LEMMAS
 from finchlake.functions.stem import porter_stem
+from finchlake.functions.text import literal_map
 from finchlake.operators.rows import element_rows, laid_out
 
 
+IN_ROW_LEMMAS = 20_000
+
+
 def word_counts(df: DataFrame, tokens: str) -> DataFrame:
     """word, n over all token arrays (partial aggregation absorbs frequent words)."""
     words = element_rows(df, [], tokens, "word")
@@ -33,11 +37,12 @@ def stem_map(words: DataFrame) -> DataFrame:
     )
 
 
-def lemma_map(tagged: DataFrame, dictionary: DataFrame) -> DataFrame:
+def lemma_map(tagged: DataFrame, dictionary: DataFrame, irregular: dict[str, dict[str, str]] | None = None) -> DataFrame:
     """word, wn_class, lemma by WordNet's detachment rules, validated against ``dictionary(word)``.
 
     A lemma is the word itself or the word with one class-specific ending detached, if the dictionary
     holds it; the shortest one wins, then alphabetical order. Words without one stay out of the result.
+    ``irregular`` (by class, :data:`finchlake.constants.IRREGULAR_LEMMAS` for English) goes before the rules.
     """
     pairs = tagged.select("word", "wn_class").distinct()
     candidates = [F.struct(F.lit("*").alias("cls"), F.col("word").alias("form"))]
@@ -54,9 +59,24 @@ def lemma_map(tagged: DataFrame, dictionary: DataFrame) -> DataFrame:
     ).where(F.col("form").isNotNull())
     known = forms.join(dictionary.select(F.col("word").alias("form")).distinct(), "form", "left_semi")
     best = F.min(F.struct(F.length("form").alias("len"), F.col("form").alias("form")))
-    return known.groupBy("word", "wn_class").agg(best.alias("b")).select(
+    regular = known.groupBy("word", "wn_class").agg(best.alias("b")).select(
         "word", "wn_class", F.col("b.form").alias("lemma")
     )
+    if not irregular:
+        return regular
+    listed = literal_map({f"{c}:{w}": lemma for c, words in irregular.items() for w, lemma in words.items()})
+    form = listed[F.concat_ws(":", "wn_class", "word")]
+    odd = pairs.select("word", "wn_class", form.alias("lemma")).where(F.col("lemma").isNotNull())
+    return regular.join(F.broadcast(odd.select("word", "wn_class")), ["word", "wn_class"], "left_anti").unionByName(odd)
+
+
+def lemma_literals(lemmas: DataFrame, limit: int = IN_ROW_LEMMAS) -> dict[str, str] | None:
+    """class:word -> lemma of the words that lemmas change, if there are at most ``limit`` of them, else None.
+
+    At most ``limit`` + 1 rows ever reach the driver. With the result, tokens are lemmatized inside the row.
+    """
+    rows = lemmas.where(F.col("lemma") != F.col("word")).select("word", "wn_class", "lemma").limit(limit + 1).collect()
+    return None if len(rows) > limit else {f"{r['wn_class']}:{r['word']}": r["lemma"] for r in rows}
 
 
 def _deletions(word, position_count):

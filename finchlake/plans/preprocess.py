@@ -54,7 +54,7 @@ def pre_process(
     add_lexicon_tokens: bool = True,
     add_bigrams: bool = True,
     add_length_tokens: bool = False,
-    lemmas: DataFrame | None = None,
+    lemmas: DataFrame | dict[str, str] | None = None,
     tags: Column | None = None,
     lowercase_first: bool = False,
     lay_out: bool = False,
@@ -62,20 +62,24 @@ def pre_process(
 ) -> DataFrame:
     """Add the token array of the full pre-processing.
 
-    Order: clean, tokenize, lemmatize (when a lemma table is given), bigrams, lexicon markers,
-    sentence-length tokens of the uncleaned text. ``lowercase_first`` lowers the text before anything
-    else, as the word vectorizer does, so that hashtags in CamelCase stay one word. Without a lemma
-    table and with a small lexicon the plan is a single narrow projection.
+    Order: clean, tokenize, lemmatize, bigrams, lexicon markers, sentence-length tokens of the uncleaned
+    text. Lemmas come from a table, joined, or from the literals of
+    :func:`finchlake.operators.vocabulary.lemma_literals`, looked up inside the row with classes by ending.
+    ``lowercase_first`` lowers the text before anything else, as the word vectorizer does, so that hashtags
+    in CamelCase stay one word. Without a joined table and with a small lexicon the plan is a single narrow
+    projection.
 
     ``lay_out`` partitions the rows by ``key`` once they are clean, for callers that explode the tokens
-    and group by document: the Python step of the cleaning would not keep an earlier layout.
+    and group by document.
     """
     source = F.lower(tx.as_text(F.col(text))) if lowercase_first else F.col(text)
     out = df.withColumn("_clean", clean_text(source, hashtag_mode, remove_punctuation))
     if lay_out:
         out = laid_out(out, key)
     out = out.withColumn(into, tk.tweet_tokens(F.col("_clean"), folded=True)).drop("_clean")
-    if lemmas is not None:
+    if isinstance(lemmas, dict):
+        out = out.withColumn(into, tk.lemmatized(F.col(into), lemmas))
+    elif lemmas is not None:
         out = lemmatize(out, key, into, lemmas, tags)
     if add_bigrams:
         out = out.withColumn(into, F.concat(into, tk.token_ngrams(F.col(into), 2)))

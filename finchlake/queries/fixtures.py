@@ -57,13 +57,7 @@ def noisy_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.join(noisy_tweets(spark, sf_dir), "doc_id").select("doc_id", "label", "text")
 
 
-def suffix_tag(token: Column) -> Column:
-    """A stand-in for a tagger: a Penn tag guessed from the ending."""
-    return (
-        F.when(token.endswith("ing"), "VBG").when(token.endswith("ed"), "VBD")
-        .when(token.endswith("ly"), "RB").when(token.endswith("er"), "JJR")
-        .when(token.endswith("est"), "JJS").otherwise("NN")
-    )
+suffix_tag = tk.tag_by_ending
 
 
 def processed(spark: SparkSession, sf_dir: str, **options) -> DataFrame:

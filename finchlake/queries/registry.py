@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finchlake.constants import DETACHMENT_RULES, STOPWORDS, NEGATIONS
+from finchlake.constants import DETACHMENT_RULES, IRREGULAR_LEMMAS, NEGATIONS, STOPWORDS
 from finchlake.functions import text as tx
 from finchlake.functions import tokens as tk
 from finchlake.functions import unicode as un
@@ -285,6 +285,49 @@ def pre_process(spark, sf_dir):
     return rows.select("doc_id", F.size("tokens").cast("long").alias("n"), fx.joined_tokens("tokens"))
 
 
+_IRREGULAR_SQL = (
+    "odd(cls, word, lemma) AS (VALUES " + ", ".join(
+        f"({q.text(c)}, {q.text(w)}, {q.text(lemma)})" for c, forms in IRREGULAR_LEMMAS.items() for w, lemma in forms.items()
+    ) + ")"
+)
+# The tokens with lemmas take the place of the plain ones from here on.
+_LEMMA_CTES = [
+    *q.PRE, _BASE_ROWS, _COUNTS_SQL, _DICT_SQL, _LEMMA_SQL, _IRREGULAR_SQL,
+    "lemma_base AS (SELECT doc_id, list(coalesce(o.lemma, l.lemma, tok) ORDER BY pos) AS toks FROM base_rows b "
+    f"LEFT JOIN lemmas l ON l.word = tok AND l.cls = {_TAG_SQL} "
+    f"LEFT JOIN odd o ON o.word = tok AND o.cls = {_TAG_SQL} GROUP BY doc_id)",
+    q.BIGRAMS.replace("FROM base", "FROM lemma_base"), q.FULL,
+]
+
+
+def lemmatized_rows(spark, sf_dir) -> DataFrame:
+    """Whole pre-processing with lemmas of the corpus's own words, looked up inside the row."""
+    words = corpus_words(fx.tokenized(spark, sf_dir))
+    tagged = words.select("word", tk.wordnet_class(fx.suffix_tag(F.col("word"))).alias("wn_class"))
+    table = written(vocabulary.lemma_map(tagged, dictionary(words), IRREGULAR_LEMMAS), "lemmas")
+    literals = vocabulary.lemma_literals(table)
+    if literals is not None:
+        return fx.processed_by_id(spark, sf_dir, lemmas=literals)
+    return fx.processed_by_id(spark, sf_dir, lemmas=table, tags=fx.suffix_tag(F.col("token")))
+
+
+@query("pre_process_lemmas", q.with_(*_LEMMA_CTES) + (
+    "SELECT doc_id, len(toks) AS n, array_to_string(toks, ' ') AS tokens FROM full_tokens"
+))
+def pre_process_lemmas(spark, sf_dir):
+    rows = lemmatized_rows(spark, sf_dir)
+    return rows.select("doc_id", F.size("tokens").cast("long").alias("n"), fx.joined_tokens("tokens"))
+
+
+@query("tfidf_lemmas", q.with_(*_LEMMA_CTES, q.TERMS, q.tfidf("weights", "terms")) + (
+    "SELECT doc_id, term, round(weight, 6) AS weight FROM weights"
+))
+def tfidf_lemmas(spark, sf_dir):
+    counts = terms.term_counts(lemmatized_rows(spark, sf_dir), "doc_id", "tokens")
+    weights = terms.tfidf(counts, "doc_id", _n_docs(spark, sf_dir))
+    return weights.select("doc_id", "term", F.round("weight", 6).alias("weight"))
+
+
 @query("bigrams", q.with_(*q.PRE, q.BIGRAMS) + (
     "SELECT doc_id, len(pairs) AS n, array_to_string(pairs, '|') AS grams FROM grams"
 ))
