@@ -100,6 +100,22 @@ EMOJI_CLDR_NAMES = {
     "☁": "cloud", "☕": "hot_beverage", "✅": "check_mark_button", "✔": "check_mark",
     "❌": "cross_mark", "✊": "raised_fist", "⭐": "star", "🌟": "glowing_star", "🎉": "party_popper",
     "💔": "broken_heart", "🔥": "fire", "✨": "sparkles",
+    "©": "copyright", "®": "registered", "™": "trade_mark", "🐻": "bear", "🐼": "panda", "🦊": "fox",
+    "🐺": "wolf", "🦁": "lion", "🐸": "frog", "🐹": "hamster", "🦄": "unicorn", "🍕": "pizza",
+    "🤗": "smiling_face_with_open_hands", "⚡": "high_voltage",
+    "🎶": "musical_notes", "🏠": "house", "💃": "woman_dancing", "🕺": "man_dancing", "💦": "sweat_droplets",
+    "💤": "ZZZ", "👊": "oncoming_fist", "👆": "backhand_index_pointing_up", "👇": "backhand_index_pointing_down",
+    "👈": "backhand_index_pointing_left", "👉": "backhand_index_pointing_right", "🔫": "water_pistol",
+    "🔴": "red_circle", "🔵": "blue_circle", "👯": "people_with_bunny_ears", "🤼": "people_wrestling",
+    "🧑": "person", "🧒": "child", "🧏": "deaf_person", "🧜": "merperson", "🎅": "Santa_Claus", "🏳": "white_flag",
+    "🏴": "black_flag", "👪": "family", "☠": "skull_and_crossbones", "☎": "telephone", "✈": "airplane",
+    "☝": "index_pointing_up", "✏": "pencil", "❗": "red_exclamation_mark", "❓": "red_question_mark",
+    "➕": "plus", "➖": "minus", "♥": "heart_suit", "🖕": "middle_finger", "🤘": "sign_of_the_horns",
+    "🤞": "crossed_fingers", "🤙": "call_me_hand", "🤝": "handshake", "🤮": "face_vomiting",
+    "🤯": "exploding_head", "🤬": "face_with_symbols_on_mouth", "🤩": "star-struck", "🤪": "zany_face",
+    "🥰": "smiling_face_with_hearts", "🥳": "partying_face", "🥺": "pleading_face", "🤤": "drooling_face",
+    "🤢": "nauseated_face", "🤧": "sneezing_face", "🤓": "nerd_face", "🤑": "money-mouth_face",
+    "🤒": "face_with_thermometer", "🤕": "face_with_head-bandage",
 }
 # Skin-tone suffixes for U+1F3FB to U+1F3FF.
 SKIN_TONES = [
@@ -123,3 +139,47 @@ IRREGULAR_LEMMAS = {
     "a": {"better": "good", "best": "good", "worse": "bad", "worst": "bad"},
     "r": {"better": "well", "best": "well", "worse": "badly", "worst": "badly"},
 }
+
+# What a person does in an emoji that has a neutral, a female and a male form.
+EMOJI_ACTIONS = {
+    "⛹": "bouncing_ball", "🏃": "running", "🏄": "surfing", "🏊": "swimming", "🏋": "lifting_weights",
+    "🏌": "golfing", "👰": "with_veil", "👱": "blond_hair", "👳": "wearing_turban", "💆": "getting_massage",
+    "💇": "getting_haircut", "🙅": "gesturing_NO", "🙆": "gesturing_OK", "🙇": "bowing", "🙋": "raising_hand", "💁": "tipping_hand",
+    "🙍": "frowning", "🙎": "pouting", "🚣": "rowing_boat", "🚴": "biking", "🚵": "mountain_biking",
+    "🚶": "walking", "🤦": "facepalming", "🤵": "in_tuxedo", "🤷": "shrugging", "🤸": "cartwheeling",
+    "🤹": "juggling", "🤽": "playing_water_polo", "🤾": "playing_handball", "🧍": "standing", "🧎": "kneeling",
+    "🧔": "beard", "🧖": "in_steamy_room", "🧗": "climbing", "🧘": "in_lotus_position",
+}
+# Roles whose neutral form names no person.
+EMOJI_ROLES = {
+    "👮": "police_officer", "👷": "construction_worker", "💂": "guard", "🕵": "detective", "🦸": "superhero",
+    "🦹": "supervillain", "🧙": "mage", "🧚": "fairy", "🧛": "vampire", "🧝": "elf", "🧞": "genie", "🧟": "zombie",
+}
+# Objects that a man, a woman or a person is joined with, and the role or state they stand for.
+EMOJI_PROFESSIONS = {
+    "⚕": "health_worker", "⚖": "judge", "✈": "pilot", "🌾": "farmer", "🍳": "cook", "🎓": "student",
+    "🎤": "singer", "🎨": "artist", "🏫": "teacher", "🏭": "factory_worker", "💻": "technologist",
+    "💼": "office_worker", "🔧": "mechanic", "🔬": "scientist", "🚀": "astronaut", "🚒": "firefighter",
+}
+EMOJI_STATES = {
+    "🍼": "feeding_baby", "🦯": "with_white_cane", "🦼": "in_motorized_wheelchair", "🦽": "in_manual_wheelchair",
+}
+EMOJI_HAIR = {"🦰": "red_hair", "🦱": "curly_hair", "🦲": "bald", "🦳": "white_hair"}
+# Joined emoji that follow no rule; code points in order, without joiners and variation selectors.
+EMOJI_JOINED = {
+    "🏳🌈": "rainbow_flag", "🏳⚧": "transgender_flag", "🏴☠": "pirate_flag", "👁🗨": "eye_in_speech_bubble",
+    "🐕🦺": "service_dog", "🐈⬛": "black_cat", "🐻❄": "polar_bear", "🐦⬛": "black_bird", "🐦🔥": "phoenix",
+    "🍋🟩": "lime", "🍄🟫": "brown_mushroom", "❤🔥": "heart_on_fire", "❤🩹": "mending_heart",
+    "😮💨": "face_exhaling", "😵💫": "face_with_spiral_eyes", "😶🌫": "face_in_clouds", "⛓💥": "broken_chain",
+    "🙂↔": "head_shaking_horizontally", "🙂↕": "head_shaking_vertically", "🧑🎄": "mx_claus",
+    "👯♀": "women_with_bunny_ears", "👯♂": "men_with_bunny_ears", "🤼♀": "women_wrestling", "🤼♂": "men_wrestling",
+    "🧏♀": "deaf_woman", "🧏♂": "deaf_man", "🧜♀": "mermaid", "🧜♂": "merman", "🫱🫲": "handshake",
+    "👩🤝👨": "woman_and_man_holding_hands", "👨🤝👨": "men_holding_hands", "👩🤝👩": "women_holding_hands",
+    "🧑🤝🧑": "people_holding_hands", "🧑🧑🧒": "family_adult_adult_child",
+    "🧑🧑🧒🧒": "family_adult_adult_child_child", "🧑🧒": "family_adult_child",
+    "🧑🧒🧒": "family_adult_child_child",
+}
+# Flags of parts of a country, by their tag letters.
+EMOJI_PART_FLAGS = {"gbeng": "England", "gbsct": "Scotland", "gbwls": "Wales"}
+# Region codes that have a name but no flag (withdrawn, private or grouping codes).
+REGIONS_WITHOUT_FLAG = "AN BU CS DD DY EZ FX HV NH QO RH SU TP UK VD XA XB YD YU ZR ZZ"

@@ -10,7 +10,10 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from finchlake.constants import EMOJI_BLOCKS, EMOJI_CLDR_NAMES, EMOJI_SYMBOLS, SKIN_TONES
+from finchlake.constants import (
+    EMOJI_ACTIONS, EMOJI_BLOCKS, EMOJI_CLDR_NAMES, EMOJI_HAIR, EMOJI_JOINED, EMOJI_PART_FLAGS, EMOJI_PROFESSIONS,
+    EMOJI_ROLES, EMOJI_STATES, EMOJI_SYMBOLS, REGIONS_WITHOUT_FLAG, SKIN_TONES,
+)
 from finchlake.functions.text import bind, rewrite_matches
 
 # Characters that NFKC never changes and that never combine with a neighbour: ASCII, most of Latin-1,
@@ -121,15 +124,63 @@ def emoji_names() -> dict[str, str]:
         name = unicodedata.name(chr(point), "")
         if name:
             names[chr(point)] = name.lower().replace(" ", "_")
+    names.update({base: f"person_{action}" for base, action in EMOJI_ACTIONS.items()})
+    names.update(EMOJI_ROLES)
     names.update(EMOJI_CLDR_NAMES)
     return names
 
 
+_ZWJ, _TONE = "\u200d", "\x05"  # _TONE: where the skin tones go in a name, if not at its end
+
+
+@lru_cache(maxsize=1)
+def emoji_sequences() -> dict[str, str]:
+    """Emoji of several joined code points -> name, without variation selectors and skin tones."""
+    people = {"👨": "man", "👩": "woman", "🧑": "person"}
+    names = {_ZWJ.join(parts): name for parts, name in EMOJI_JOINED.items()}
+    for person, word in people.items():
+        prefix = "" if word == "person" else f"{word}_"
+        names.update({f"{person}{_ZWJ}{o}": prefix + role for o, role in EMOJI_PROFESSIONS.items()})
+        names.update({f"{person}{_ZWJ}{o}": f"{word}_{state}" for o, state in EMOJI_STATES.items()})
+        names.update({f"{person}{_ZWJ}{o}": f"{word}{_TONE}_{hair}" for o, hair in EMOJI_HAIR.items()})
+        for other, second in people.items():
+            pair = f"{word}_{second}"
+            names[_ZWJ.join([person, "❤", other])] = f"couple_with_heart_{pair}"
+            names[_ZWJ.join([person, "❤", "💋", other])] = f"kiss_{pair}"
+    for sign, word in [("♀", "woman"), ("♂", "man")]:
+        names.update({f"{base}{_ZWJ}{sign}": f"{word}_{action}" for base, action in EMOJI_ACTIONS.items()})
+        names.update({f"{base}{_ZWJ}{sign}": f"{word}_{role}" for base, role in EMOJI_ROLES.items()})
+        for base in "👱🧔":  # looks, not actions: the tone belongs to the person
+            names[f"{base}{_ZWJ}{sign}"] = f"{word}{_TONE}_{EMOJI_ACTIONS[base]}"
+            names[base] = f"person{_TONE}_{EMOJI_ACTIONS[base]}"
+    words = {**people, "👦": "boy", "👧": "girl"}
+    for parents in ["👨", "👩", "👨👩", "👨👨", "👩👩"]:
+        for children in ["👦", "👧", "👧👦", "👦👦", "👧👧"]:
+            family = parents + children
+            names[_ZWJ.join(family)] = "_".join(["family", *(words[p] for p in family)])
+    return names
+
+
 # Two dense tables indexed by code point keep the lookup constant-time inside the JVM.
 _SYMBOL_BASE, _SYMBOL_END = 0x203C, 0x3299
 _PICTO_BASE, _PICTO_END = 0x1F004, 0x1FAFF
 _EMOJI_SET = r"\x{a9}\x{ae}\x{203c}-\x{3299}\x{1f004}-\x{1f3fa}\x{1f400}-\x{1faff}"
 _EMOJI_UNIT = rf"[{_EMOJI_SET}]\x{{fe0f}}?[\x{{1f3fb}}-\x{{1f3ff}}]?(?:\x{{200d}}(?=[{_EMOJI_SET}]))?"
+_TONES = r"\x{1f3fb}-\x{1f3ff}"
+_FLAG = r"[\x{1f1e6}-\x{1f1ff}]{2}"
+_KEYCAP = r"[0-9#*]\x{fe0f}?\x{20e3}"
+_PART_FLAG = r"\x{1f3f4}[\x{e0061}-\x{e007a}]{5}\x{e007f}"
+
+
+def _sequence_pattern(sequences) -> str:
+    """Any of the sequences, longer ones first, each code point with its selector and tone; by first code point."""
+    def unit(char: str) -> str:
+        return char if char == _ZWJ else rf"\x{{{ord(char):x}}}\x{{fe0f}}?[{_TONES}]?"
+
+    rests: dict[str, list[str]] = {}
+    for sequence in sorted(sequences, key=len, reverse=True):
+        rests.setdefault(sequence[0], []).append("".join(map(unit, sequence[1:])))
+    return "|".join(f"{unit(first)}(?:{'|'.join(found)})" for first, found in rests.items())
 
 
 def _dense(names: dict[str, str], base: int, end: int) -> Column:
@@ -148,26 +199,61 @@ def _emoji_name(point: Column, names: dict[str, str]) -> Column:
     )
 
 
-def _emoji_unit_text(unit: Column, names: dict[str, str]) -> Column:
-    tones = F.array(*[F.lit("_" + t) for t in SKIN_TONES])
-    tone = F.regexp_extract(unit, r"([\x{1f3fb}-\x{1f3ff}])", 1)
+def _region_name(flag: Column) -> Column:
+    """The name of the region whose two letters make up the flag, from the locale data among Spark's jars; or null."""
+    letters = [F.char(F.ascii(F.substring(flag, at, 1)) - 0x1F1E6 + 65) for at in (1, 2)]
+
+    def name(code: Column) -> Column:
+        found = F.reflect(F.lit("com.ibm.icu.util.ULocale"), F.lit("getDisplayCountry"),
+                          F.concat(F.lit("und-"), code), F.lit("en"))
+        return F.when((found != code) & ~code.isin(*REGIONS_WITHOUT_FLAG.split()), F.translate(found, " ", "_"))
+
+    return bind(F.concat(*letters), name)
+
+
+def _emoji_unit_text(unit: Column, names: dict[str, str], sequences: dict[str, str]) -> Column:
+    spelled = F.transform(
+        F.array_distinct(F.regexp_extract_all(unit, F.lit(f"[{_TONES}]"), F.lit(0))),
+        lambda t: F.concat(F.lit("_"), F.get(F.array(*[F.lit(n) for n in SKIN_TONES]), F.ascii(t) - 0x1F3FB)),
+    )
+    part_flag = F.element_at(
+        F.create_map(*[F.lit(x) for pair in EMOJI_PART_FLAGS.items() for x in pair]),
+        F.array_join(F.transform(F.regexp_extract_all(unit, F.lit(r"[\x{e0061}-\x{e007a}]"), F.lit(0)),
+                                 lambda c: F.char(F.ascii(c) - 0xE0000)), ""))
+    sequence = named_value(sequences, F.regexp_replace(unit, rf"[\x{{fe0f}}{_TONES}]", ""))
+    letter = _emoji_name(F.ascii(F.substring(unit, 2, 1)), names)
     parts = F.struct(
         unit.alias("unit"),
-        _emoji_name(F.ascii(unit), names).alias("name"),
-        F.coalesce(F.get(tones, F.ascii(tone) - 0x1F3FB), F.lit("")).alias("tone"),
+        F.coalesce(sequence, F.concat(_emoji_name(F.ascii(unit), names), F.lit(_TONE))).alias("name"),
+        F.array_join(spelled, "").alias("tone"),
     )
-    return bind(
-        parts,
-        lambda p: F.when(p["name"] == "", p["unit"])
-        .otherwise(F.concat(F.lit(":"), p["name"], p["tone"], F.lit(":"))),
+
+    def joined(p: Column) -> Column:
+        placed = F.when(p["name"].contains(_TONE), F.replace(p["name"], F.lit(_TONE), p["tone"])).otherwise(
+            F.concat(p["name"], p["tone"]))
+        return F.when(p["name"] == _TONE, p["unit"]).otherwise(F.concat(F.lit(":"), placed, F.lit(":")))
+
+    two_letters = F.concat(F.lit(":"), _emoji_name(F.ascii(unit), names), F.lit("::"), letter, F.lit(":"))
+    flag = F.coalesce(F.concat(F.lit(":"), _region_name(unit), F.lit(":")), two_letters)
+    return (
+        F.when(unit.rlike(f"^{_FLAG}$"), flag)
+        .when(unit.rlike(r"\x{20e3}$"), F.concat(F.lit(":keycap_"), F.substring(unit, 1, 1), F.lit(":")))
+        .when(unit.rlike(r"\x{e007f}$"), F.coalesce(F.concat(F.lit(":"), part_flag, F.lit(":")), unit))
+        .otherwise(bind(parts, joined))
     )
 
 
 def emoji_to_text(col: Column, extra_names: dict[str, str] | None = None) -> Column:
     """Emoji become their names; every colon, also one that was in the text, becomes a space.
 
-    ``extra_names`` overrides or adds names of single code points.
+    The longest known sequence counts: joined emoji, flags, keycaps and skin tones have one name. Parts of an
+    unknown sequence are spelled one by one. ``extra_names`` overrides or adds names, of single code points
+    or of joined ones (without variation selectors and skin tones).
     """
-    names = {**emoji_names(), **(extra_names or {})}
-    spelled = rewrite_matches(col, _EMOJI_UNIT, lambda unit: _emoji_unit_text(unit, names))
+    extra = extra_names or {}
+    names = {**emoji_names(), **{e: name for e, name in extra.items() if len(e) == 1}}
+    sequences = {**emoji_sequences(), **{e: name for e, name in extra.items() if len(e) > 1 or e in emoji_sequences()}}
+    known = _sequence_pattern(s for s in sequences if len(s) > 1)
+    pattern = f"{_FLAG}|{_KEYCAP}|{_PART_FLAG}|{known}|{_EMOJI_UNIT}"
+    spelled = rewrite_matches(col, pattern, lambda unit: _emoji_unit_text(unit, names, sequences))
     return F.translate(spelled, ":", " ")

@@ -22,6 +22,12 @@ SUFFIXES = [
     " Ｆｕｌｌ ﬁne … www.x.org/y",
     " didn’t like; however love wins",
 ]
+# Emoji that are appended to the texts by doc_id modulo their number.
+EMOJI_ENDINGS = [
+    "👨‍👩‍👧‍👦", "👩‍👧", "🏳️‍🌈", "🏴‍☠️", "🇫🇷", "🇺🇸", "🇨🇮", "🏴󠁧󠁢󠁥󠁮󠁧󠁿", "1️⃣", "#⃣",
+    "👩‍💻", "🧑🏽‍🚀", "👨🏿‍🦰", "🏃🏻‍♀️", "🤷‍♂️", "👮‍♀️", "👩‍❤️‍💋‍👨", "👩🏻‍🤝‍👩🏿", "❤️‍🔥", "😮‍💨",
+    "🧔🏼", "👍🏾", "❤️", "😀😀", "😂", "🔥", "☀️", "©", "👩‍🔥", "🇦🇦",
+]
 LEXICON = {
     "pos": ["good", "great", "love", "happy", "wins", "ok"],
     "neg": ["bad", "awful", "never", "sad"],
@@ -39,6 +45,14 @@ def _with_suffix(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.concat("text", ending).alias("text"))
 
 
+def with_emoji(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, text: every whole document with an emoji or a sequence of them at its end."""
+    endings = F.array(*[F.lit(e) for e in EMOJI_ENDINGS])
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    ending = F.get(endings, (F.col("doc_id") % len(EMOJI_ENDINGS)).cast("int"))
+    return docs.select("doc_id", F.concat("text", F.lit(" so: "), ending).alias("text"))
+
+
 def noisy_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, text: every whole document with its suffix."""
     return _with_suffix(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))

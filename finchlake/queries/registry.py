@@ -60,6 +60,13 @@ text_query("hashtag_remove", lambda c: tx.hashtags(c, "remove"),
            f"regexp_replace(text, '#{q.W}+', ' ', 'g')")
 text_query("hashtag_keep", lambda c: tx.hashtags(c, "keep"), "text")
 text_query("emoji_text", un.emoji_to_text, q.emoji("text"))
+
+
+@query("emoji_sequences", q.with_(q.WITH_EMOJI) + f"SELECT doc_id, {q.emoji_sequences('text')} AS text FROM with_emoji")
+def _emoji_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.with_emoji(spark, sf_dir).select("doc_id", un.emoji_to_text(F.col("text")).alias("text"))
+
+
 text_query("lower_text", tx.lowercase, "lower(text)")
 text_query("strip_punct", tx.remove_punctuation,
            rf"regexp_replace(text, '[^\p{{L}}\p{{N}}_{q.S}]', '', 'g')")

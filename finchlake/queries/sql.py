@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from finchlake.constants import CONNECTIVES, CONTRACTIONS, NEGATIONS, SLANG
 from finchlake.functions.patterns import SPACE_SET, alternation
-from finchlake.queries.fixtures import FOLDS, LEXICON, SUFFIXES
+from finchlake.queries.fixtures import EMOJI_ENDINGS, FOLDS, LEXICON, SUFFIXES
 
 S = SPACE_SET
 W = r"[\p{L}\p{N}_]"
@@ -31,6 +31,10 @@ NOISY = "noisy AS (SELECT doc_id, text || CASE doc_id % 8 " + " ".join(
     f"WHEN {i} THEN {text(s)}" for i, s in enumerate(SUFFIXES)
 ) + " END AS text FROM documents)"
 
+WITH_EMOJI = "with_emoji AS (SELECT doc_id, text || ' so: ' || CASE doc_id % 30 " + " ".join(
+    f"WHEN {i} THEN {text(e)}" for i, e in enumerate(EMOJI_ENDINGS)
+) + " END AS text FROM documents)"
+
 LABELLED = (
     "labelled AS (SELECT n.doc_id, CASE WHEN l.quality = 1 THEN 'positive' ELSE 'negative' END AS label, "
     "n.text FROM noisy n JOIN labels l ON l.doc_id = n.doc_id)"
@@ -53,6 +57,27 @@ def emoji(e: str) -> str:
     return f"replace(replace({e}, '\U0001F600', ':grinning_face:'), ':', ' ')"
 
 
+# The names of the emoji that end the texts, written out, longer sequences before their parts.
+EMOJI_NAMES = [
+    ("👨‍👩‍👧‍👦", "family_man_woman_girl_boy"), ("👩‍👧", "family_woman_girl"), ("🏳️‍🌈", "rainbow_flag"),
+    ("🏴‍☠️", "pirate_flag"), ("🇫🇷", "France"), ("🇺🇸", "United_States"), ("🇨🇮", "Côte_d’Ivoire"),
+    ("🏴󠁧󠁢󠁥󠁮󠁧󠁿", "England"), ("1️⃣", "keycap_1"), ("#⃣", "keycap_#"), ("👩‍💻", "woman_technologist"),
+    ("🧑🏽‍🚀", "astronaut_medium_skin_tone"), ("👨🏿‍🦰", "man_dark_skin_tone_red_hair"),
+    ("🏃🏻‍♀️", "woman_running_light_skin_tone"), ("🤷‍♂️", "man_shrugging"), ("👮‍♀️", "woman_police_officer"),
+    ("👩‍❤️‍💋‍👨", "kiss_woman_man"), ("👩🏻‍🤝‍👩🏿", "women_holding_hands_light_skin_tone_dark_skin_tone"),
+    ("❤️‍🔥", "heart_on_fire"), ("😮‍💨", "face_exhaling"), ("🧔🏼", "person_medium-light_skin_tone_beard"),
+    ("👍🏾", "thumbs_up_medium-dark_skin_tone"), ("👩‍", "woman"), ("❤️", "red_heart"), ("😀", "grinning_face"),
+    ("😂", "face_with_tears_of_joy"), ("🔥", "fire"), ("☀️", "sun"), ("©", "copyright"),
+    ("🇦", "regional_indicator_symbol_letter_a"),
+]
+
+
+def emoji_sequences(e: str) -> str:
+    for found, name in EMOJI_NAMES:
+        e = f"replace({e}, '{found}', ':{name}:')"
+    return f"replace({e}, ':', ' ')"
+
+
 def no_digits(e: str) -> str:
     return rf"regexp_replace({e}, '\p{{Nd}}', '', 'g')"
 

@@ -78,5 +78,20 @@ def test_emoji(apply):
     texts = ["😀 at 10:30", "❤️x👍🏽", "no: emoji", "👩‍💻", "plain"]
     assert apply(un.emoji_to_text, texts) == [
         " grinning_face  at 10 30", " red_heart x thumbs_up_medium_skin_tone ", "no  emoji",
-        " woman  personal_computer ", "plain",
+        " woman_technologist ", "plain",
     ]
+
+
+def test_emoji_sequences(apply):
+    cases = {
+        "👨‍👩‍👧‍👦": " family_man_woman_girl_boy ", "👨‍👩‍👧‍🚀": " family_man_woman_girl \u200d rocket ",
+        "🇩🇪🇧🇷": " Germany  Brazil ", "🇪🇺": " European_Union ",
+        "🇩": " regional_indicator_symbol_letter_d ", "🇿🇿": " regional_indicator_symbol_letter_z " * 2,
+        "*️⃣ 12": " keycap_*  12", "🏴󠁧󠁢󠁷󠁬󠁳󠁿": " Wales ", "👩🏽‍🔬": " woman_scientist_medium_skin_tone ",
+        "👩🏻‍❤️‍👩🏻": " couple_with_heart_woman_woman_light_skin_tone ", "🏃": " person_running ",
+        "👱🏿‍♂️": " man_dark_skin_tone_blond_hair ", "🧜🏻‍♀": " mermaid_light_skin_tone ", "🤼‍♂️x": " men_wrestling x",
+        "🐻‍❄️🐻": " polar_bear  bear ", "": "", "12 # *": "12 # *",
+    }
+    assert apply(un.emoji_to_text, list(cases)) == list(cases.values())
+    assert apply(lambda c: un.emoji_to_text(c, {"🐻": "grizzly", "👩\u200d🔥": "woman_on_fire"}), ["🐻👩‍🔥", None]) == [
+        " grizzly  woman_on_fire ", None]
