@@ -86,15 +86,66 @@ _TREEBANK = [
 ]
 
 
-def word_tokens(col: Column, merge_contractions: bool = False) -> Column:
+def word_core(word: Column) -> Column:
+    """A word without the brackets, quotes and commas around it."""
+    return F.regexp_replace(F.regexp_replace(word, r"^[(\[{\"'“‘«]+", ""), r"[)\]}\"'”’»,;:]+$", "")
+
+
+def is_stopped(core: Column) -> Column:
+    """True for a word with one final full stop."""
+    return core.rlike(r"[^.]\.$")
+
+
+def stopless(core: Column) -> Column:
+    """The lowercase word without its one final full stop."""
+    return F.lower(F.regexp_replace(core, r"(?<=[^.])\.$", ""))
+
+
+def word_pairs(col: Column) -> Column:
+    """struct(w, n) of every run between white space and the next one, empty after the last."""
+    return bind(space_words(col), lambda found: F.zip_with(
+        found, F.slice(found, 2, F.greatest(F.size(found), F.lit(1))),
+        lambda w, n: F.struct(w.alias("w"), F.coalesce(n, F.lit("")).alias("n"))))
+
+
+def closed_word(pair: Column, abbreviation: Column, starter: Column) -> Column:
+    """The word of the pair, with a space before its full stop if that ends a sentence.
+
+    It does so at the end of the text and after any word that is neither an abbreviation nor an initial;
+    after those only if the next word is capitalised and a known sentence starter.
+    """
+    core = word_core(pair["w"])
+    inside = (abbreviation | core.rlike(r"^\p{L}\.$")) & (pair["n"] != "")
+    ends = is_stopped(core) & (~inside | (starter & word_core(pair["n"]).rlike(r"^\p{Lu}")))
+    return F.when(ends, F.regexp_replace(pair["w"], r"\.([)\]}\"'”’»,;:]*)$", " .$1")).otherwise(pair["w"])
+
+
+def split_stops(col: Column, learned: dict[str, str]) -> Column:
+    """The text with a space before the full stops that end a sentence, by words looked up inside the row.
+
+    ``learned`` comes from :func:`finchlake.operators.sentences.literals`.
+    """
+    def known(kind: str, word: Column) -> Column:
+        if not learned:
+            return F.lit(False)
+        return named_value(learned, F.concat(F.lit(f"{kind}:"), stopless(word_core(word)))).isNotNull()
+
+    return F.array_join(F.transform(
+        word_pairs(col), lambda p: closed_word(p, known("a", p["w"]), known("s", p["n"]))), " ")
+
+
+def word_tokens(col: Column, merge_contractions: bool = False, stops_split: bool = False) -> Column:
     """Treebank-style word tokens: punctuation and clitics are split off.
 
-    With ``merge_contractions`` words with an inner apostrophe (``'`` or ``’``) stay whole.
+    With ``merge_contractions`` words with an inner apostrophe (``'`` or ``’``) stay whole. ``stops_split``
+    says that sentence ends are split off already (:func:`split_stops`), so that other full stops stay.
     """
     if merge_contractions:
         pattern = rf"{WORD}+(?:['’]{WORD}++)*+|{NOT_SPACE}"
         return F.regexp_extract_all(col, F.lit(pattern), F.lit(0))
     for pattern, replacement in _TREEBANK:
+        if stops_split and replacement == " . ":
+            continue
         col = F.regexp_replace(col, pattern, replacement)
     return space_words(col)
 

@@ -28,6 +28,14 @@ EMOJI_ENDINGS = [
     "👩‍💻", "🧑🏽‍🚀", "👨🏿‍🦰", "🏃🏻‍♀️", "🤷‍♂️", "👮‍♀️", "👩‍❤️‍💋‍👨", "👩🏻‍🤝‍👩🏿", "❤️‍🔥", "😮‍💨",
     "🧔🏼", "👍🏾", "❤️", "😀😀", "😂", "🔥", "☀️", "©", "👩‍🔥", "🇦🇦",
 ]
+# Sentences with abbreviations and initials, by doc_id modulo their number.
+SENTENCE_ENDINGS = [
+    " Mr. Brown met Dr. Lee at 5 p.m. on Monday. Then he left. The end.",
+    " She has many (e.g. cats, dogs, etc.) here. They like her. Mr. Fox, from the U.S. Army, too.",
+    " We saw J. Smith vs. Mr. Hall. Then we went home! The dr. was in.",
+    " Is it ok? The vs. sign is fine etc. Then Dr. No came. He didn't go.",
+    " Then, \"Mr. Hill said no.\" He did too... The end",
+]
 LEXICON = {
     "pos": ["good", "great", "love", "happy", "wins", "ok"],
     "neg": ["bad", "awful", "never", "sad"],
@@ -53,6 +61,14 @@ def with_emoji(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.concat("text", F.lit(" so: "), ending).alias("text"))
 
 
+def with_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, text: every whole document with sentences at its end."""
+    endings = F.array(*[F.lit(e) for e in SENTENCE_ENDINGS])
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    ending = F.get(endings, (F.col("doc_id") % len(SENTENCE_ENDINGS)).cast("int"))
+    return docs.select("doc_id", F.concat("text", ending).alias("text"))
+
+
 def noisy_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, text: every whole document with its suffix."""
     return _with_suffix(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))

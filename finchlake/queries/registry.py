@@ -16,7 +16,7 @@ from finchlake.functions import text as tx
 from finchlake.functions import tokens as tk
 from finchlake.functions import unicode as un
 from finchlake.operators import lexicon as lx
-from finchlake.operators import metrics, ordinal, terms, vocabulary
+from finchlake.operators import metrics, ordinal, sentences, terms, vocabulary
 from finchlake.operators.lookup import substitute_tokens
 from finchlake.operators.rows import element_rows
 from finchlake.plans import evaluate, exact, model, preprocess
@@ -150,6 +150,24 @@ def word_tokens(spark, sf_dir):
     return fx.noisy_tweets(spark, sf_dir).select("doc_id", fx.joined_tokens(tokens))
 
 
+@query("sentence_words", q.with_(*q.SENTENCES) + (
+    "SELECT 'a' AS kind, word, round(score, 6) AS score FROM s_abbr "
+    "UNION ALL SELECT 's', word, round(score, 6) FROM s_starters"
+))
+def sentence_words(spark, sf_dir):
+    learned = sentences.learn(fx.with_sentences(spark, sf_dir), "text")
+    return learned.select("kind", "word", F.round("score", 6).alias("score"))
+
+
+@query("sentence_word_tokens", q.with_(*q.SENTENCES) + (
+    f"SELECT doc_id, array_to_string({q.treebank('text', stops=False)}, ' ') AS tokens FROM s_text"
+))
+def sentence_word_tokens(spark, sf_dir):
+    docs = fx.with_sentences(spark, sf_dir)
+    split = sentences.split_stops(docs, "doc_id", "text", sentences.learn(docs, "text"))
+    return split.select("doc_id", fx.joined_tokens(tk.word_tokens(F.lower("text"), stops_split=True)))
+
+
 _TAG_SQL = (
     "CASE WHEN tok LIKE '%ing' THEN 'v' WHEN tok LIKE '%ed' THEN 'v' WHEN tok LIKE '%ly' THEN 'r' "
     "WHEN tok LIKE '%er' THEN 'a' WHEN tok LIKE '%est' THEN 'a' ELSE 'n' END"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from finchlake.constants import CONNECTIVES, CONTRACTIONS, NEGATIONS, SLANG
 from finchlake.functions.patterns import SPACE_SET, alternation
-from finchlake.queries.fixtures import EMOJI_ENDINGS, FOLDS, LEXICON, SUFFIXES
+from finchlake.queries.fixtures import EMOJI_ENDINGS, FOLDS, LEXICON, SENTENCE_ENDINGS, SUFFIXES
 
 S = SPACE_SET
 W = r"[\p{L}\p{N}_]"
@@ -221,8 +221,50 @@ def tfidf(name: str, counts: str) -> str:
     )
 
 
-def treebank(e: str) -> str:
-    """Word tokens of the lowercased text, without look-around; runs are split by passing twice."""
+_CORE = (r"regexp_replace(regexp_replace(w, '^[(\[{\"''“‘«]+', ''), '[)\]}\"''”’»,;:]+$', '')")
+# Words in rows, abbreviations and sentence starters by their likelihood ratios, and the texts put together again.
+SENTENCES = (
+    "sentence_docs AS (SELECT doc_id, text || CASE doc_id % 5 " + " ".join(
+        f"WHEN {i} THEN {text(s)}" for i, s in enumerate(SENTENCE_ENDINGS)) + " END AS text FROM documents)",
+    f"s_runs AS (SELECT doc_id, regexp_extract_all(text, '[^{S}]+') AS ws FROM sentence_docs)",
+    "s_rows AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS pos FROM s_runs)",
+    f"s_cores AS (SELECT *, {_CORE} AS core FROM s_rows)",
+    r"s_words AS (SELECT *, regexp_matches(core, '[^.]\.$') AS stopped, "
+    r"lower(regexp_replace(core, '([^.])\.$', '\1')) AS word FROM s_cores)",
+    "s_counts AS (SELECT word, count(*) FILTER (WHERE stopped) AS c, count(*) FILTER (WHERE NOT stopped) AS p, "
+    "count(*) AS b FROM s_words WHERE core <> '' GROUP BY word)",
+    "s_total AS (SELECT sum(c)::DOUBLE AS stops, sum(b)::DOUBLE AS n FROM s_counts)",
+    "s_ratio AS (SELECT word, length(replace(word, '.', '')) AS letters, length(word) - length(replace(word, '.', '')) "
+    "+ 1 AS dots, p, 2 * (c * ln(0.99) + p * ln(0.01) - c * ln(stops / n) - p * ln(1 - stops / n)) AS ratio "
+    r"FROM s_counts, s_total WHERE c > 0 AND regexp_matches(word, '\p{L}'))",
+    "s_abbr AS (SELECT word, ratio * exp(-letters) * dots * pow(letters, -p) AS score FROM s_ratio "
+    "WHERE ratio * exp(-letters) * dots * pow(letters, -p) >= 0.3)",
+    "s_next AS (SELECT core, word, stopped, lead(core) OVER w AS next_core, lead(word) OVER w AS next_word "
+    "FROM s_words WHERE core <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY pos))",
+    r"s_first AS (SELECT next_word AS word, count(*)::DOUBLE AS k FROM s_next WHERE regexp_matches(next_core, '^\p{L}') "
+    r"AND (regexp_matches(core, '[!?]$') OR stopped AND NOT regexp_matches(word, '^\p{L}$|^[\p{N}.,]+$') "
+    "AND word NOT IN (SELECT word FROM s_abbr)) GROUP BY next_word)",
+    "s_ends AS (SELECT sum(k) AS a FROM s_first)",
+    "s_start AS (SELECT word, 2 * (k * ln(k / a) + CASE WHEN a > k THEN (a - k) * ln(1 - k / a) ELSE 0 END "
+    "+ CASE WHEN b > k THEN (b - k) * ln((b - k) / (n - a)) ELSE 0 END "
+    "+ (n - a - b + k) * ln(1 - (b - k) / (n - a)) - b * ln(b / n) - (n - b) * ln(1 - b / n)) AS score "
+    "FROM s_first JOIN s_counts USING (word), s_total, s_ends WHERE k / a > b / n)",
+    "s_starters AS (SELECT * FROM s_start WHERE score >= 30)",
+    "s_follow AS (SELECT doc_id, pos, w, core, stopped, word, lead(core) OVER v AS next_core, lead(word) OVER v "
+    "AS next_word FROM s_words WINDOW v AS (PARTITION BY doc_id ORDER BY pos))",
+    r"s_split AS (SELECT doc_id, pos, CASE WHEN stopped AND (next_word IS NULL OR NOT (word IN (SELECT word FROM s_abbr) "
+    r"OR regexp_matches(core, '^\p{L}\.$')) OR next_word IN (SELECT word FROM s_starters) "
+    r"AND regexp_matches(next_core, '^\p{Lu}')) "
+    r"THEN regexp_replace(w, '\.([)\]}\"''”’»,;:]*)$', ' .\1') ELSE w END AS w FROM s_follow)",
+    "s_text AS (SELECT doc_id, string_agg(w, ' ' ORDER BY pos) AS text FROM s_split GROUP BY doc_id)",
+)
+
+
+def treebank(e: str, stops: bool = True) -> str:
+    """Word tokens of the lowercased text, without look-around; runs are split by passing twice.
+
+    Without ``stops`` the full stops of sentence ends are split off already.
+    """
     e = f"lower({e})"
     steps = [
         (r"\.{2,}", r" \0 "),
@@ -234,6 +276,8 @@ def treebank(e: str) -> str:
         (rf"([^{S}'])('(?:s|m|d|ll|re|ve)|n't)([{S}]|$)", r"\1 \2\3"),
     ]
     for pattern, replacement in steps:
+        if not stops and replacement == r"\1 . \2":
+            continue
         e = f"regexp_replace({e}, {text(pattern)}, {text(replacement)}, 'g')"
     return f"regexp_extract_all({e}, '[^{S}]+')"
 
