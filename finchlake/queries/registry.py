@@ -389,6 +389,13 @@ def tsv_scan(spark, sf_dir):
     return src.read_labelled(spark, path)
 
 
+@query("tsv_pieces", q.with_(q.NOISY, q.LABELLED) + "SELECT doc_id AS id, label, text FROM labelled")
+def tsv_pieces(spark, sf_dir):
+    path = fresh_path(spark, "labelled-tsv")
+    src.write_labelled(fx.noisy_labelled(spark, sf_dir).withColumnRenamed("doc_id", "id").coalesce(1), path)
+    return src.read_labelled_pieces(spark, path)
+
+
 _WORD_LINE_SQL = (
     rf"list_words AS (SELECT DISTINCT l.quality, unnest(regexp_extract_all(d.text, '[^{q.S}]+')) AS w "
     "FROM documents d JOIN labels l ON l.doc_id = d.doc_id)"
