@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from finchlake.operators import metrics, ordinal
 from finchlake.plans import svm
+from finchlake.plans.hooks import Hook
 from finchlake.plans.model import HASH_SIZE, MAX_ITER, fit_problems, inputs_of, score, text_stages, train
 from finchlake.session import written
 from finchlake.sources.labelled import write_error_log
@@ -44,6 +45,8 @@ def cross_validate(
     legacy_tail: bool = False,
     cost: float = 1.0,
     log_path: str | None = None,
+    lemmas: dict[str, str] | None = None,
+    prepare: Hook | None = None,
 ) -> DataFrame:
     """Predictions (id, fold, true, pred, text) of contiguous k-fold cross-validation.
 
@@ -54,7 +57,8 @@ def cross_validate(
     placed, total = ordinal.ordinal(labelled, key)
     fold = F.coalesce(ordinal.fold_id(total, folds, legacy_tail=legacy_tail), F.lit(-1))
     inputs = inputs_of(architecture)
-    made = PipelineModel(text_stages(architecture, lexicon, encoder, hash_size)).transform(placed.withColumn("fold", fold))
+    made = PipelineModel(text_stages(architecture, lexicon, encoder, hash_size, lemmas=lemmas, prepare=prepare)).transform(
+        placed.withColumn("fold", fold))
     features = written(made.select(key, "fold", "label", "text", *inputs), "features")
     tested = total - 1 if legacy_tail else total
     fold_ids = list(range(-(-tested // ordinal.fold_width(total, folds))))

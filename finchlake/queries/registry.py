@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +21,8 @@ from finchlake.operators import metrics, ordinal, sentences, terms, vocabulary
 from finchlake.operators.lookup import substitute_tokens
 from finchlake.operators.rows import element_rows
 from finchlake.plans import evaluate, exact, model, preprocess
-from finchlake.plans.features import character_profile, embed, hashed_projection
+from finchlake.plans.features import Embedding, WordTerms, character_profile, embed, hashed_projection
+from finchlake.plans.hooks import Encoder
 from finchlake.queries import fixtures as fx
 from finchlake.queries import sql as q
 from finchlake.queries import stem_sql
@@ -747,6 +749,34 @@ def embed_batch(spark, sf_dir):
         F.round(F.aggregate(weighted, F.lit(0.0), lambda a, x: a + x), 2).alias("moment"))
 
 
+_VOWELS = "regexp_replace(lower(text), '[^aeiou]+', '')"
+
+
+@query("hook_tokens", q.with_(q.NOISY) + (
+    "SELECT doc_id, array_to_string(list_filter(string_split(lower(text), ' '), lambda w: length(w) > 3), ' ') AS tokens "
+    "FROM noisy"
+))
+def hook_tokens(spark, sf_dir):
+    """Tokens by a user's SQL expression, from a stage that was saved and loaded."""
+    path = fresh_path(spark, "stage")
+    WordTerms(tokenizer="filter(split(lower(text), ' '), w -> length(w) > 3)").save(path)
+    return WordTerms.load(path).transform(fx.noisy_tweets(spark, sf_dir)).select("doc_id", fx.joined_tokens("words"))
+
+
+@query("hook_embedding", q.with_(q.NOISY) + """,
+points AS (SELECT doc_id, unicode(unnest(string_split(regexp_replace(lower(text), '[^aeiou]+', '', 'g'), ''))) % 64 AS cell
+FROM noisy),
+counts AS (SELECT doc_id, cell, count(*)::DOUBLE AS n FROM points GROUP BY ALL)
+SELECT doc_id, 64 AS dim, round(max(n) / sqrt(sum(n * n)), 4) AS top FROM counts GROUP BY doc_id""")
+def hook_embedding(spark, sf_dir):
+    """Vectors of the vowels of a text: encoder and preparation come from a stage that was saved and loaded."""
+    path = fresh_path(spark, "stage")
+    Embedding(Encoder(character_profile, dim=64), batch_size=64, preprocess=_VOWELS).save(path)
+    vectors = Embedding.load(path).transform(fx.noisy_tweets(spark, sf_dir))
+    values = vectors.select("doc_id", vector_to_array("embedding").alias("v"))
+    return values.select("doc_id", F.size("v").alias("dim"), F.round(F.array_max("v"), 4).alias("top"))
+
+
 FOLDS = 10
 
 
