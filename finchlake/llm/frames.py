@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finchlake.llm.common import column, key_ranges, shuffle_partitions, small_batches, text_or_empty
+from finchlake.llm.common import column, key_ranges, range_count, shuffle_partitions, small_batches, text_or_empty
 from finchlake.llm.tokenizing import encoder
 from finchlake.session import fresh_path, written
 
@@ -140,7 +140,7 @@ def write_token_frames(
     """
     small_batches(df)
     folder = folder or fresh_path(df.sparkSession, "token-frames")
-    parts = parts or 2 * shuffle_partitions(df)
+    parts = parts or range_count(df, 2 * shuffle_partitions(df))
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def write(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -171,7 +171,8 @@ def write_token_frames(
             yield finished()
 
     docs = df.select(F.coalesce(column(key).cast("long"), F.lit(NO_KEY)).alias("key"), text_or_empty(text).alias("text"))
-    ordered = key_ranges(docs, "key", parts)(docs).repartition(shuffle_partitions(df), "part").sortWithinPartitions("part", "key", "text")
+    tasks = max(shuffle_partitions(df), parts // 2)
+    ordered = key_ranges(docs, "key", parts)(docs).repartition(tasks, "part").sortWithinPartitions("part", "key", "text")
     return written(ordered.mapInPandas(write, MANIFEST), "frame-manifest")
 
 

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finchlake.llm.common import column, key_ranges, shuffle_partitions, small_batches, text_or_empty
+from finchlake.llm.common import column, key_ranges, range_count, shuffle_partitions, small_batches, text_or_empty
 
 K = 8               # code points of a k-mer
 CELLS_LOG2 = 6
@@ -129,7 +129,8 @@ def order_minhash(df: DataFrame, key: str, text: str) -> DataFrame:
     """
     small_batches(df)
     docs = df.select(column(key).alias("key"), text_or_empty(text).alias("text"))
-    add_part = key_ranges(docs, "key", 3 * shuffle_partitions(df))
+    ranges = range_count(df, 3 * shuffle_partitions(df))
+    add_part = key_ranges(docs, "key", ranges)
     tops = {r["part"]: r["top"] for r in
             add_part(docs.select("key")).groupBy("part").agg(F.max("key").alias("top")).collect()}
     parts = sorted(tops)
@@ -141,7 +142,8 @@ def order_minhash(df: DataFrame, key: str, text: str) -> DataFrame:
     twice = F.array(once, F.struct(F.col("also").alias("part"), F.lit(True).alias("halo")))
     dealt = joined.select(
         "key", "text", F.explode(F.when(F.col("key").eqNullSafe(F.col("top")), twice).otherwise(F.array(once))).alias("to"))
-    placed = dealt.select("to.part", "to.halo", "key", "text").repartition(shuffle_partitions(df), "part")
+    placed = dealt.select("to.part", "to.halo", "key", "text").repartition(
+        max(shuffle_partitions(df), ranges // 3), "part")
     ordered = placed.sortWithinPartitions("part", "halo", F.col("key").desc_nulls_last(), "text")
 
     def scan(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
