@@ -227,12 +227,13 @@ def _classes(df: DataFrame, key: str, text: str, least: float) -> tuple[DataFram
         F.min("key").alias("key"), F.count(F.lit(1)).alias("n"), F.first("buckets").alias("buckets"),
         F.first("sketch").alias("sketch"))
     placed = nodes.select("node", F.explode("buckets").alias("bucket"))
-    sizes = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
+    # Tables by bucket are written before they are joined: between two plain exchanges Spark splits a hot bucket.
+    sizes = written(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1), "bucket-sizes")
     crowded = written(placed.join(sizes, "bucket"), "crowded")
 
     weight = crowded.groupBy("node").agg(F.sum("size").alias("weight"))
-    central = crowded.join(weight, "node").groupBy("bucket").agg(
-        F.max(F.struct("weight", "node")).getField("node").alias("y"))
+    central = written(crowded.join(weight, "node").groupBy("bucket").agg(
+        F.max(F.struct("weight", "node")).getField("node").alias("y")), "bucket-centres")
     pairs = crowded.join(central, "bucket").where(F.col("node") != F.col("y")).select(
         F.col("node").alias("x"), "y").distinct()
 
@@ -278,11 +279,11 @@ def _cross_pairs(crowded: DataFrame, labels: DataFrame, sketched: DataFrame, lea
     """
     labelled = crowded.select("bucket", "node").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
-    mixed_ones = labelled.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).where(
-        F.col("a") != F.col("b")).select("bucket")
+    mixed_ones = written(labelled.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).where(
+        F.col("a") != F.col("b")).select("bucket"), "mixed-names")
     members = written(labelled.join(mixed_ones, "bucket").join(sketched, "node"), "mixed-buckets")
-    largest = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
-        F.max(F.struct("n", "label")).getField("label").alias("largest"))
+    largest = written(members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
+        F.max(F.struct("n", "label")).getField("label").alias("largest")), "largest-components")
     marked = members.join(largest, "bucket")
     small = marked.where(F.col("label") != F.col("largest")).select(
         F.col("bucket").alias("b"), F.col("node").alias("x"), F.col("label").alias("lx"), F.col("sketch").alias("sx"),
