@@ -91,7 +91,8 @@ def trigram_counts(df: DataFrame, text: str) -> np.ndarray:
         total = np.zeros(size, dtype=np.int64)
         for batch in batches:
             for at in range(0, len(batch), 256):
-                s = symbol[code_points("\n" + "\n\n".join(batch["text"].iloc[at:at + 256]) + "\n")]
+                # Two boundaries around every text: the counts are the same however the texts are dealt.
+                s = symbol[code_points("\n\n" + "\n\n".join(batch["text"].iloc[at:at + 256]) + "\n\n")]
                 if len(s) > 2:
                     total += np.bincount((s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:], minlength=size)
         seen = np.flatnonzero(total)
@@ -168,14 +169,47 @@ def restore(span: str, model: list) -> str:
     return "".join(reversed(letters))
 
 
-ADDRESS = re.compile(r"\w@\w+\.\w|://|=")
+# What real addresses hold or end in; other signs in words are noise.
+ADDRESS = re.compile(r"://|\bwww\.|\w@[\w.-]*\w\.(?:[a-z]{2}|com|org|net|edu|gov|mil|int|info|biz)\b")
+MOST_SEPARATORS = 3
+
+
+def spelled_out(codes: np.ndarray, part_of: np.ndarray) -> np.ndarray:
+    """Which places lie in three and more single characters that are parted by one separator, or by up to
+    MOST_SEPARATORS of them that are the same all along."""
+    places = np.flatnonzero(part_of)
+    covered = np.zeros(len(codes) + 1, dtype=np.int32)
+    if len(places) >= 3:
+        edge = np.concatenate(([False], part_of, [False]))
+        alone = (~edge[:-2] & ~edge[2:])[places]
+        gap = np.diff(places)
+        first, second = gap[:-1], gap[1:]
+        three = alone[:-2] & alone[1:-1] & alone[2:] & (first == second) & (first <= MOST_SEPARATORS + 1)
+        at, wide = places[:-2], first > 2
+        for step in range(1, MOST_SEPARATORS + 1):
+            inside = three & wide & (step < first)
+            here = at[inside]
+            three[inside] = codes[here + step] == codes[here + first[inside] + step]
+        np.add.at(covered, at[three], 1)
+        np.add.at(covered, places[2:][three] + 1, -1)
+    return np.cumsum(covered[:-1]) > 0
+
+
+def _read(stretch: str, model: list) -> str:
+    """A stretch as words: plain words, numbers and signs as they stand, others restored."""
+    plain = stretch.isalpha() and stretch.isascii() and re.search(r"(.)\1\1", stretch) is None
+    if plain or stretch.isdigit() or not any(c.isalpha() for c in stretch):
+        return tables()[0][code_points(stretch)].tobytes().decode("utf-32-le")
+    # A sign at the very end is as often punctuation; a sentence may end in the stretch.
+    return restore(stretch.rstrip("!"), model)
 
 
 def restored_text(text: str, model: list, known: dict[str, str]) -> str:
     """The whole text as lower-case words, parted by spaces; noisy stretches restored.
 
     ``known`` remembers stretches. Noise is a sign or digit in a token with letters, a letter three times
-    in a row, or three and more single characters in a row. Addresses and assignments stay.
+    in a row, or three and more single characters in a row. Web and mail addresses stay; an equals sign
+    parts words, unless it stands between single characters.
     """
     if not text:
         return ""
@@ -188,20 +222,12 @@ def restored_text(text: str, model: list, known: dict[str, str]) -> str:
     part_of = letter | signs
     noisy = signs & inked
     noisy[2:] |= letter[2:] & (plain[2:] == plain[1:-1]) & (plain[1:-1] == plain[:-2])
-    edge = np.concatenate(([False], part_of, [False]))
-    single = edge[1:-1] & ~edge[:-2] & ~edge[2:]
-    spelled = np.zeros(len(codes), dtype=bool)
-    if len(codes) >= 5:
-        three = single[:-4] & single[2:-2] & single[4:]
-        spelled[:-4] |= three
-        spelled[2:-2] |= three
-        spelled[4:] |= three
+    spelled = spelled_out(codes, part_of)
     noisy |= spelled
     if not noisy.any():
         return plain.tobytes().decode("utf-32-le")
     # Tokens are runs without white space; a run of spelled characters joins its tokens.
-    joined = inked.copy()
-    joined[1:-1] |= spelled[:-2] & spelled[2:]
+    joined = inked | spelled
     padded = np.concatenate(([False], joined, [False]))
     change = np.flatnonzero(padded[1:] != padded[:-1])
     starts, stops = change[::2], change[1::2]
@@ -215,12 +241,12 @@ def restored_text(text: str, model: list, known: dict[str, str]) -> str:
         restored = known.get(span)
         if restored is None:
             bare = span.strip(".,;:?\"')]}>")
-            clean = bare.isalpha() and bare.isascii() and re.search(r"(.)\1\1", bare) is None
-            if clean or bare.isdigit() or ADDRESS.search(span) or not any(c.isalpha() for c in span):
+            if ADDRESS.search(bare):
                 restored = lower[code_points(span)].tobytes().decode("utf-32-le")
             else:
-                # A sign at the very end is as often punctuation; a sentence may end in the stretch.
-                restored = restore(bare.rstrip("!"), model)
+                parts = [p for p in bare.split("=") if p]
+                spaced = all(len(p) == 1 for p in parts)
+                restored = " ".join(_read(p, model) for p in ([bare] if spaced else parts))
             if len(known) > 100_000:
                 known.clear()
             known[span] = restored

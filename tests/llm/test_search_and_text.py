@@ -34,6 +34,38 @@ def test_disguises_are_read(noisy, clear):
     assert clear in toxicity.restored_text(f"the {noisy} people", model, {}).split()
 
 
+@pytest.mark.parametrize("noisy, clear", [
+    ("c=l=o=w=n", "clown"), ("tr@sh.you", "trash"), ("idi0t=you", "idiot"), ("l - o - s - e - r", "loser"), ("c  l  o  w  n", "clown"),
+    ("s . t . u . p . i . d", "stupid"), ("you=l0ser", "loser"), ("s.t-u p i_d", "stupid"),
+])
+def test_wider_spacing_and_signs_like_those_of_addresses_are_read(noisy, clear):
+    model = model_of(WORDS).tolist()
+    assert clear in toxicity.restored_text(f"the {noisy} people", model, {}).split()
+
+
+def test_addresses_and_short_lists_stay():
+    model = model_of(WORDS).tolist()
+    for text in ("see http://t.co/x1?a=b2", "me@site4.org.", "(x1@mail.co.uk)", "www.l0ser.com", "a, b and c", "x - y", "i am = a"):
+        want = "".join(chr(c) for c in toxicity.tables()[0][toxicity.code_points(text)])
+        assert toxicity.restored_text(text, model, {}).split() == want.split()
+
+
+def test_spelled_out_by_its_definition():
+    rng = random.Random(8)
+    for _ in range(400):
+        text = "".join(rng.choice("ab  .-") for _ in range(rng.randrange(0, 30)))
+        part = [c in "ab" for c in text]
+        want = [False] * len(text)
+        at = [i for i, p in enumerate(part) if p]
+        alone = {i for i in at if not (i and part[i - 1]) and not (i + 1 < len(text) and part[i + 1])}
+        for x, y, z in zip(at, at[1:], at[2:]):
+            one, two = text[x + 1:y], text[y + 1:z]
+            if {x, y, z} <= alone and len(one) == len(two) and (len(one) == 1 or len(one) <= 3 and one == two):
+                want[x:z + 1] = [True] * (z + 1 - x)
+        got = toxicity.spelled_out(toxicity.code_points(text), np.array(part, dtype=bool))
+        assert got.tolist() == want
+
+
 def test_clean_texts_stay():
     model = model_of(WORDS).tolist()
     for text in ("Éin schöner Tag, ñu", "call +1 (555) 010-2345 now", "mail x.y@mail6.example.com", "", " \n", "日本語"):
@@ -87,6 +119,59 @@ def test_held_out_and_disguised_texts(spark):
     assert len(wrong) <= 9 and all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_detector_against_a_plain_version(spark):
+    docs, labels = toxic_table(spark)
+    detector = toxicity.fit_detector(docs, "doc_id", "text", labels, "toxic", F.lit(True))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    symbol, counts = toxicity.tables()[1], np.zeros((28, 28, 28))
+    stream = [0, 0] + [int(x) for t in texts.values() for x in [*(symbol[ord(c)] for c in t), 0, 0]]
+    for gram in zip(stream, stream[1:], stream[2:]):
+        counts[gram] += 1
+    for parts in (1, 7):
+        assert np.array_equal(toxicity.trigram_counts(docs.repartition(parts), "text"), counts)
+
+    lists = toxicity.language_model(counts).tolist()
+    clear = {k: toxicity.restored_text(t, lists, {}) for k, t in texts.items()}
+    fits = {r["doc_id"]: r["fits"] for r in labels.select("doc_id", (F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(3)) == 0).alias("fits")).collect()}
+    toxic = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    rows, found, bits = {0: 0, 1: 0}, {0: {}, 1: {}}, {}
+    for k in toxic:
+        if fits[k]:
+            continue
+        rows[toxic[k]] += 1
+        words = clear[k].split()
+        for i, word in enumerate(words):
+            before = toxicity._word_hash(words[i - 1]) if i else 0
+            after = toxicity._word_hash(words[i + 1]) if i + 1 < len(words) else 0
+            bit = ((before * 31 + after) * 0x9E3779B97F4A7C15 >> 40) & 63
+            for mark in [f" {word} "] + [f" {word[:n]}" for n in (3, 4, 5, 6, 7) if n < len(word)]:
+                found[toxic[k]].setdefault(mark, set()).add(k)
+                if toxic[k]:
+                    bits.setdefault(mark, set()).add(bit)
+    want = {}
+    for mark, holders in found[1].items():
+        if len(holders) >= 3 and len(bits[mark]) >= 3:
+            pos = min(len(holders), 64 * np.log(64 / max(64 - len(bits[mark]), 0.5)))
+            neg = len(found[0].get(mark, ()))
+            weight = np.log((pos + 0.5) / (rows[1] + 1)) - np.log((neg + 0.5) / (rows[0] + 1)) - (1 / (pos + 0.5) + 1 / (neg + 0.5)) ** 0.5
+            if weight > 1:
+                want[mark] = weight
+    assert want and detector.marks == pytest.approx(want)
+
+    def features(text):
+        text = f" {text} "
+        best = {i: max((w for m, w in want.items() if text.startswith(m, i)), default=0) for i in range(len(text))}
+        held = sorted((w for w in best.values() if w), reverse=True)
+        top, total, words = (held + [0, 0])[:2], sum(held), len(text.split())
+        return [1, *top, np.log1p(total), np.log1p(words), 10 * total / (words + 20)]
+
+    x = np.array([features(clear[k]) for k in toxic if fits[k]])
+    weights = toxicity.logistic_weights(x, np.array([toxic[k] for k in toxic if fits[k]], dtype=float))
+    scores = {k: 1 / (1 + np.exp(-np.array(features(t)) @ weights)) for k, t in clear.items()}
+    got = {r["doc_id"]: r["score"] for r in toxicity.with_toxicity(docs, "text", detector).collect()}
+    assert got == pytest.approx(scores, abs=1e-6)
+
+
 def test_rare_marks_beside_many_common_words(spark):
     rng = random.Random(3)
     common = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(12_000)]

@@ -2,6 +2,7 @@
 
 import collections
 import random
+import re
 import zlib
 
 import numpy as np
@@ -62,6 +63,22 @@ def test_shuffle_query_is_exact_and_repeats(spark, sf_dir, documents):
     assert near < 12
 
 
+def test_shuffle_query_against_a_plain_version(spark, sf_dir, documents):
+    got = {r["doc_id"]: (r["shard"], r["slot"]) for r in QUERIES["op3_hypergeometric_shuffle"](spark, sf_dir).collect()}
+    seed = 20_011
+    rows = documents.select("doc_id", *[F.xxhash64(F.lit(seed + i), "doc_id").alias(f"h{i}") for i in range(3)]).collect()
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = [sorted((r["h1"], r["h2"], r["doc_id"]) for r in rows if r["h0"] % n == b) for b in range(n)]
+    matrix = hypershuffle.communication_matrix([len(b) for b in blocks], hypershuffle.even_sizes(len(rows), 24), seed)
+    shards = collections.defaultdict(list)
+    for block, dealt in zip(blocks, matrix):
+        at = 0
+        for shard, count in enumerate(dealt):
+            shards[shard] += [(second % n, second, first, key) for first, second, key in block[at:at + count]]
+            at += count
+    assert got == {key: (s, slot) for s, held in shards.items() for slot, (*_, key) in enumerate(sorted(held))}
+
+
 def test_targets_by_hand():
     shares = mixture.share_targets({"b": 100, "a": 10, None: 50}, (5.0, 2.0, 1.0), 240.0, 2)
     assert [(s.source, s.target) for s in shares] == [("a", 20.0), ("b", pytest.approx(440 / 3)), (None, pytest.approx(220 / 3))]
@@ -88,6 +105,36 @@ def test_mixture_against_a_plain_version(spark, sf_dir):
     assert all(abs(taken[s] - target[s]) <= max(20, 0.01 * target[s]) for s in target)
 
 
+def test_mixture_query_against_a_plain_schedule(spark, sf_dir):
+    got = {r["doc_id"]: (r["size"], r["taken"]) for r in QUERIES["op8_mixture"](spark, sf_dir).collect()}
+    cells = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        "doc_id", "source", "text", F.pmod(F.xxhash64(F.lit(8_191), "doc_id"), F.lit(cells)).alias("cell"),
+        F.xxhash64(F.lit(8_192), "doc_id").alias("shuffled")).collect()
+    size = {r["doc_id"]: len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")) for r in docs}
+    words = collections.defaultdict(list)   # of every source, each named by its document, in shuffled order
+    for r in sorted(docs, key=lambda r: (r["cell"], r["shuffled"])):
+        words[r["source"]] += [r["doc_id"]] * size[r["doc_id"]]
+    total = 1.5 * sum(size.values())
+    shares = mixture.share_targets({s: len(w) for s, w in words.items()}, (5.0, 2.0, 1.0), total, 2)
+    most = max(1, min(512, int(total // 200_000)))
+    blocks = []
+    for share in shares:
+        stream, count = words[share.source], -(-share.size // max(1, min(most, int(share.target // 64))))
+        each, longer = divmod(len(stream), count)
+        starts = [i * each + min(i, longer) for i in range(count + 1)]
+        blocks.append([stream[a:b] for a, b in zip(starts, starts[1:])])
+    counts = [round(s.target * len(b) / s.size) for s, b in zip(shares, blocks)]
+    points = sorted((slot * 1327217885 % 2**31, slot) for slot in range(sum(counts)))
+    taken, first = collections.Counter(), 0
+    for own, count in zip(blocks, counts):
+        slots = sorted(slot for _, slot in points[first:first + count])
+        first += count
+        for rank, _ in enumerate(slots):
+            taken.update(own[rank % len(own)])
+    assert got == {k: (n, taken[k]) for k, n in size.items()}
+
+
 def test_points_are_counted_exactly():
     for counts in ([3], [1, 0, 5, 2, 900], [0, 0], [7] * 40, [1, 100_000, 1]):
         ends = mixture.slot_ends(counts)
