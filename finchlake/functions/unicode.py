@@ -31,7 +31,8 @@ MAYBE_UNNORMALISED = f"[^{_STABLE}]"
 def normalize_nfkc(col: Column) -> Column:
     """NFKC form of the text, by the normaliser among Spark's own jars.
 
-    Only texts that hold a character outside the stable ranges are sent through it.
+    Only texts that hold a character outside the stable ranges are sent through it, inside the row and with
+    no Python. Spark has no function of its own for normal forms.
     """
     composed = F.reflect(
         F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), F.coalesce(col, F.lit("")), F.lit(True)

@@ -28,6 +28,18 @@ EMOJI_ENDINGS = [
     "👩‍💻", "🧑🏽‍🚀", "👨🏿‍🦰", "🏃🏻‍♀️", "🤷‍♂️", "👮‍♀️", "👩‍❤️‍💋‍👨", "👩🏻‍🤝‍👩🏿", "❤️‍🔥", "😮‍💨",
     "🧔🏼", "👍🏾", "❤️", "😀😀", "😂", "🔥", "☀️", "©", "👩‍🔥", "🇦🇦",
 ]
+# Characters with other normal forms, by doc_id modulo their number.
+FORM_ENDINGS = [
+    "\uff21\uff42\uff43\uff11\uff12\uff13", "\ufb00 \ufb01 \ufb02 \ufb03 \ufb04 \ufb06",
+    "x\u00b2 y\u00b3 z\u00b9 \u2074 \u2082", "\u00bd \u00bc \u00be \u2153", "\u2116 \u2122 \u2120 \u2121",
+    "\u2163 \u2178 \u216b", "\u2460 \u2473 \u24d0 \u24cf", "\u338f \u339e \u33d1 \u337f",
+    "\uff71\uff72\uff73 \uff76\uff9e \uff8a\uff9f", "가 각", "e\u0301 o\u0302\u0301 n\u0303",
+    "a\u0323\u0302 q\u0307\u0323", "\u212b \u2126 \u212a", "\u017f \u1e9b\u0323", "a\u00a0b\u2003c\u3000d\u202fe",
+    "\u2026 \u2025 \u203c \u2047", "\U0001d400\U0001d41b \U0001d49e \U0001d507 \U0001d7d7", "\ufdfa \ufefb \ufe8f",
+    "\uf900 \uf92d", "\u01c4 \u01c6 \u01c7 \u0149", "\u00b4 \u00a8 \u00af \u00b8", "\ufe77 \ufe7c",
+    "か\u3099 ハ\u309a", "क\u093c \u0958 ড\u09bc", "\u00aa \u00ba \u00b5 \u02b0 \u02b7", "〜 \uff5e \uff9e ー",
+    "하 \uac00ᆨ", "\u3220 \u3299 \u32c0 \u3358", "\uff03 \uff20 \uff5b\uff5d \uffe5", "plain \u00e9 ß ж 漢",
+]
 # Sentences with abbreviations and initials, by doc_id modulo their number.
 SENTENCE_ENDINGS = [
     " Mr. Brown met Dr. Lee at 5 p.m. on Monday. Then he left. The end.",
@@ -61,6 +73,14 @@ def with_emoji(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.concat("text", F.lit(" so: "), ending).alias("text"))
 
 
+def with_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, text: every whole document with characters of other normal forms at its end."""
+    endings = F.array(*[F.lit(e) for e in FORM_ENDINGS])
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    ending = F.get(endings, (F.col("doc_id") % len(FORM_ENDINGS)).cast("int"))
+    return docs.select("doc_id", F.concat("text", F.lit(" so: "), ending).alias("text"))
+
+
 def with_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, text: every whole document with sentences at its end."""
     endings = F.array(*[F.lit(e) for e in SENTENCE_ENDINGS])

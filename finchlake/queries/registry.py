@@ -74,6 +74,11 @@ text_query("strip_punct", tx.remove_punctuation,
            rf"regexp_replace(text, '[^\p{{L}}\p{{N}}_{q.S}]', '', 'g')")
 text_query("strip_digits", tx.remove_digits, q.no_digits("text"))
 text_query("nfkc", lambda c: un.normalize_nfkc(tx.as_text(c)), q.nfkc("text"))
+@query("nfkc_forms", q.with_(q.WITH_FORMS) + "SELECT doc_id, text FROM with_forms")
+def _nfkc_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.with_forms(spark, sf_dir).select("doc_id", un.normalize_nfkc(tx.as_text(F.col("text"))).alias("text"))
+
+
 text_query("light_clean", preprocess.light_clean, q.emoji(q.no_urls(q.nfkc("text"))))
 text_query("contractions", tx.expand_contractions, q.contractions("text"))
 text_query("slang", tx.replace_slang, q.slang("text"))

@@ -35,6 +35,19 @@ WITH_EMOJI = "with_emoji AS (SELECT doc_id, text || ' so: ' || CASE doc_id % 30
     f"WHEN {i} THEN {text(e)}" for i, e in enumerate(EMOJI_ENDINGS)
 ) + " END AS text FROM documents)"
 
+# The normal forms of the endings in fixtures.FORM_ENDINGS, in their order, written out.
+FORMS = [
+    "Abc123", "ff fi fl ffi ffl st", "x2 y3 z1 4 2", "1⁄2 1⁄4 3⁄4 1⁄3", "No TM SM TEL", "IV ix XII", "1 20 a Z",
+    "kg km ln 株式会社", "アイウ \u30ac \u30d1", "\uac00 \uac01", "\u00e9 \u1ed1 \u00f1", "\u1ead q\u0323\u0307",
+    "\u00c5 Ω K", "s \u1e69", "a b c d e", "... .. !! ??", "Ab C D 9", "صلى الله عليه وسلم لا ب", "豈 來",
+    "D\u017d d\u017e LJ ʼn", " \u0301  \u0308  \u0304  \u0327", "ـ\u064e  \u0651", "\u304c \u30d1",
+    "क\u093c क\u093c ড\u09bc", "a o μ h w", "〜 ~ \u3099 ー", "\ud558 \uac01", "(一) 秘 1月 0点", "# @ {} ¥",
+    "plain \u00e9 ß ж 漢",
+]
+WITH_FORMS = "with_forms AS (SELECT doc_id, " + "nfc_normalize(text) || ' so: ' || CASE doc_id % 30 " + " ".join(
+    f"WHEN {i} THEN {text(e)}" for i, e in enumerate(FORMS)
+) + " END AS text FROM documents)"
+
 LABELLED = (
     "labelled AS (SELECT n.doc_id, CASE WHEN l.quality = 1 THEN 'positive' ELSE 'negative' END AS label, "
     "n.text FROM noisy n JOIN labels l ON l.doc_id = n.doc_id)"
