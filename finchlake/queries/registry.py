@@ -403,7 +403,7 @@ def tsv_scan(spark, sf_dir):
 @query("tsv_pieces", q.with_(q.NOISY, q.LABELLED) + "SELECT doc_id AS id, label, text FROM labelled")
 def tsv_pieces(spark, sf_dir):
     path = fresh_path(spark, "labelled-tsv")
-    src.write_labelled(fx.noisy_labelled(spark, sf_dir).withColumnRenamed("doc_id", "id").coalesce(1), path)
+    src.write_labelled(fx.noisy_labelled(spark, sf_dir).withColumnRenamed("doc_id", "id"), path)
     return src.read_labelled_pieces(spark, path)
 
 
