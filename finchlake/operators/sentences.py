@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finchlake.functions import tokens as tk
-from finchlake.functions.text import space_words
 from finchlake.operators.lookup import keyed_lookup
 from finchlake.operators.rows import collected, element_rows
 from finchlake.session import written
@@ -23,10 +22,12 @@ IN_ROW_WORDS = 20_000
 
 def word_counts(df: DataFrame, text: str) -> DataFrame:
     """word, stopped, plain: how often each word stands with and without a final full stop."""
-    rows = element_rows(df, [], F.transform(space_words(F.col(text)), tk.word_core), "core").where("core <> ''")
-    stopped = tk.is_stopped(F.col("core")).cast("long")
-    return rows.groupBy(tk.stopless(F.col("core")).alias("word")).agg(
-        F.sum(stopped).alias("stopped"), F.sum(1 - stopped).alias("plain"))
+    rows = element_rows(df, [], tk.word_cores(F.col(text)), "core")
+    # Counted as they are written first, so that the patterns run once a spelling and not once a word.
+    spelled = rows.groupBy("core").agg(F.count(F.lit(1)).alias("n"))
+    stopped = F.when(tk.is_stopped(F.col("core")), F.col("n")).otherwise(F.lit(0))
+    return spelled.groupBy(tk.stopless(F.col("core")).alias("word")).agg(
+        F.sum(stopped).alias("stopped"), F.sum(F.col("n") - stopped).alias("plain"))
 
 
 def abbreviations(counts: DataFrame, threshold: float = ABBREVIATION_SCORE) -> DataFrame:
@@ -56,17 +57,18 @@ def starters(df: DataFrame, text: str, counts: DataFrame, abbreviated: DataFrame
     Sure ends are question and exclamation marks and full stops of words that are neither abbreviations nor
     initials nor numbers. Pairs are counted by (word before, word), partially before the exchange.
     """
-    cores = F.filter(F.transform(space_words(F.col(text)), tk.word_core), lambda c: c != "")
-    pairs = element_rows(
-        df.select(cores.alias("_w")), [],
+    # Only pairs whose first word ends like a sentence leave the row; the last word has no next one. They are counted
+    # as they are written, once for both kinds of ends, so that the patterns run once a pair of spellings.
+    words = df.select(tk.word_cores(F.col(text)).alias("_w"))
+    found = element_rows(words, [], F.filter(
         F.zip_with("_w", F.slice("_w", 2, F.greatest(F.size("_w"), F.lit(1))), lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
-        "pair").select("pair.*")
-    # the last word has no next one
-    pairs = pairs.where(F.col("b").rlike(r"^\p{L}")).select("a", tk.stopless(F.col("b")).alias("word"))
-    marked = pairs.where(F.col("a").rlike(r"[!?]$")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+        lambda p: F.right(p["a"], F.lit(1)).isin(".", "!", "?")), "pair").select("pair.*")
+    spelled = written(found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")), "sentence-pairs")
+    pairs = spelled.where(F.col("b").rlike(r"^\p{L}")).select("a", tk.stopless(F.col("b")).alias("word"), "n")
+    marked = pairs.where(F.col("a").rlike(r"[!?]$")).groupBy("word").agg(F.sum("n").alias("n"))
     before = tk.stopless(F.col("a"))
     after_stop = pairs.where(tk.is_stopped(F.col("a")) & ~before.rlike(r"^\p{L}$|^[\p{N}.,]+$")).groupBy(
-        before.alias("before"), "word").agg(F.count(F.lit(1)).alias("n"))
+        before.alias("before"), "word").agg(F.sum("n").alias("n"))
     sure = after_stop.join(abbreviated.select(F.col("word").alias("before")), "before", "left_anti")
     at_start = written(marked.unionByName(sure.select("word", "n")).groupBy("word").agg(F.sum("n").alias("n")), "starts")
     ends = at_start.agg(F.sum("n")).first()[0]
