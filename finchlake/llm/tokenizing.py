@@ -20,11 +20,13 @@ import pandas as pd
 PIECES_KEPT = 600_000
 # The separators that Python takes for white space and the tokenizers do not.
 UNSURE = ("\x1c", "\x1d", "\x1e", "\x1f")
+OTHER_SPACE = "\t\r\x0b\x0c"   # of ASCII, beside the space and the line's end
 WITH_SPACE = re.compile(r"\s*\S+|\s+")
 # Byte-level vocabularies write bytes as signs: printable Latin-1 ones as themselves, the others, in order,
 # as the characters from 256 on.
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+SPACE_SIGN = chr(BYTE_SIGNS[ord(" ")])
 
 
 def _bytes(ids: Iterable[int]) -> bytes:
@@ -34,6 +36,17 @@ def _bytes(ids: Iterable[int]) -> bytes:
     return out.tobytes()
 
 
+class _AfterSpace(dict):
+    """Ids of the words that follow one space; a missing one comes from the encoder."""
+
+    def __init__(self, find):
+        self.find = find
+
+    def __missing__(self, word: str) -> bytes:
+        known = self[word] = self.find(" " + word)
+        return known
+
+
 class PieceEncoder(dict):
     """``ids(text)``: little-endian unsigned 32-bit ids of the whole text, as the library gives them.
 
@@ -54,6 +67,12 @@ class PieceEncoder(dict):
         self.model, self.drops_space = self.tokenizer.model, drops_space
         self.split = str.split if drops_space else WITH_SPACE.findall
         self.old: dict[str, bytes] = {}
+        self.old_after: dict[str, bytes] = {}
+        self.after = _AfterSpace(self._after_space)
+
+    def _after_space(self, piece: str) -> bytes:
+        known = self.old_after.get(piece[1:])
+        return self._found(piece) if known is None else known
 
     def _encoded(self, text: str) -> bytes:
         word = self._one_word(text)
@@ -75,31 +94,63 @@ class PieceEncoder(dict):
                     and unicodedata.is_normalized("NFC", piece)):
                 return None
             piece = lower
-        elif not (piece[1:] if piece[:1] == " " else piece).isalpha():
+        elif not self._plain(piece):
             return None
+        elif piece.isascii():   # its bytes are their own signs, but for the space
+            return SPACE_SIGN + piece[1:] if piece[0] == " " else piece
         return piece.encode("utf-8").decode("latin-1").translate(BYTE_SIGNS)
 
+    def _plain(self, piece: str) -> bool:
+        """Letters only, for the byte-level vocabulary after one space at most."""
+        if self.drops_space:
+            return self._one_word(piece) is not None
+        return (piece[1:] if piece[:1] == " " else piece).isalpha()
+
     def __missing__(self, piece: str) -> bytes:
         known = self.old.get(piece)
         if known is None:
-            # Both vocabularies end a piece between plain letters and a full stop or comma.
-            if piece[-1] in ".," and len(piece) > 1 and self._one_word(piece[:-1]) is not None:
-                known = self[piece[:-1]] + self[piece[-1]]
-            elif self.drops_space and piece != piece.lower() and self._one_word(piece) is not None:
-                known = self[piece.lower()]   # this vocabulary takes plain words without regard to case
-            else:
-                known = self._encoded(piece)
+            known = self._found(piece)
         self[piece] = known
         return known
 
+    def _found(self, piece: str) -> bytes:
+        # Both vocabularies end a piece between plain letters and a full stop or comma.
+        if piece[-1] in ".," and len(piece) > 1 and self._plain(piece[:-1]):
+            word = piece[:-1]
+            known = self.after[word[1:]] if word[0] == " " else self[word]
+            return known + self[piece[-1]]
+        if self.drops_space and piece != piece.lower() and self._one_word(piece) is not None:
+            return self[piece.lower()]   # this vocabulary takes plain words without regard to case
+        # The byte-level one also ends a piece between a line's end and the letters after it.
+        if not self.drops_space and piece[0] == "\n" and (piece[1:-1] if piece[-1] in ".," else piece[1:]).isalpha():
+            return self["\n"] + self[piece[1:]]
+        return self._encoded(piece)
+
+    def _by_line(self, text: str) -> bytes | None:
+        """The ids of a text whose white space is single spaces and line ends, which is cut fastest; else None."""
+        out, head = [], ""
+        for line in text.split("\n"):
+            words = line.split(" ")
+            if "" in words:
+                return None
+            out.append(self[head + words[0]])
+            out.extend(map(self.after.__getitem__, words[1:]))
+            head = "\n"
+        return b"".join(out)
+
     def ids(self, text: str) -> bytes:
         if any(c in text for c in UNSURE) or any(s in text for s in self.added) or (
                 self.folded and any(s in text.lower() for s in self.folded)):
             return self._whole(text)
-        out = b"".join(map(self.__getitem__, self.split(text)))
-        if len(self) > PIECES_KEPT:  # the pieces of late live on, the others go
-            self.old = dict(self)
+        out = None
+        if not self.drops_space and text.isascii() and not any(c in text for c in OTHER_SPACE):
+            out = self._by_line(text)
+        if out is None:
+            out = b"".join(map(self.__getitem__, self.split(text)))
+        if len(self) + len(self.after) > PIECES_KEPT:  # the pieces of late live on, the others go
+            self.old, self.old_after = dict(self), dict(self.after)
             self.clear()
+            self.after.clear()
         return out
 
 
