@@ -143,7 +143,8 @@ class PieceEncoder(dict):
                 self.folded and any(s in text.lower() for s in self.folded)):
             return self._whole(text)
         out = None
-        if not self.drops_space and text.isascii() and not any(c in text for c in OTHER_SPACE):
+        if not self.drops_space and (not any(c in text for c in OTHER_SPACE) if text.isascii()
+                                     else text.split() == text.replace("\n", " ").split(" ")):
             out = self._by_line(text)
         if out is None:
             out = b"".join(map(self.__getitem__, self.split(text)))

@@ -24,5 +24,5 @@ def test_ids_are_those_of_the_whole_text(monkeypatch, name, drops_space):
 def test_plain_texts_need_no_pattern(monkeypatch):
     encoder = tokenizing.PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"), False)
     monkeypatch.setattr(encoder, "split", lambda text: pytest.fail("cut by the pattern"))
-    text = "One line. Two words,\nanother line\n1 more: it's"
-    assert encoder.ids(text) == encoder._whole(text)
+    for text in ("One line. Two words,\nanother line\n1 more: it's", "One líne. Twö words,\n字 line\n1 more: it’s"):
+        assert encoder.ids(text) == encoder._whole(text)
