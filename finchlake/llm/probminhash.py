@@ -36,7 +36,7 @@ ROWS = 6
 REGISTERS = 512                  # the first BANDS * ROWS are banded, the sketch holds all
 SKETCH = REGISTERS // 16         # longs of 16 registers, four bits each
 SURE = 3.5
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000            # characters hashed at a time: what a worker holds, and keeps, beside its batch
 ODD = np.uint64(0x9E3779B97F4A7C15)
 STEP = np.uint64(0xD1342543DE82EF95)
 # ASCII letters, digits, the underscore and every byte of other characters make words.

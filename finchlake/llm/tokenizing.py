@@ -17,7 +17,7 @@ from collections.abc import Iterable, Iterator
 
 import pandas as pd
 
-PIECES_KEPT = 600_000
+PIECES_KEPT = 250_000   # and as many of the generation before: some 100 MB a worker
 # The separators that Python takes for white space and the tokenizers do not.
 UNSURE = ("\x1c", "\x1d", "\x1e", "\x1f")
 OTHER_SPACE = "\t\r\x0b\x0c"   # of ASCII, beside the space and the line's end
