@@ -21,6 +21,7 @@ from finchlake.session import written
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 CAPACITY = 2048
+PIECES_KEPT = 250_000   # that a worker remembers, for it may still hold what the stages before took
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -59,7 +60,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     import public_tokenizers
 
-    pieces = token_pieces(docs, "doc_id", "text", public_tokenizers.path(TOKENIZER), END_ID, CAPACITY)
+    pieces = token_pieces(docs, "doc_id", "text", public_tokenizers.path(TOKENIZER), END_ID, CAPACITY, kept=PIECES_KEPT)
     tokens = written(pieces.withColumnRenamed("key", "doc_id"), "pieces")
     return place(tokens, "length", CAPACITY, ["doc_id", "piece", "ids_crc32"])
 

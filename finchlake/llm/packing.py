@@ -105,20 +105,20 @@ def crc32_of(ids: Column, id_bytes: int) -> Column:
 
 def token_pieces(
     df: DataFrame, key: str, text: str, tokenizer: str, end_id: int, capacity: int, drops_space: bool = True,
-    id_bytes: int = 4,
+    id_bytes: int = 4, kept: int | None = None,
 ) -> DataFrame:
     """key, piece, start, length, ids, ids_crc32, task, nth: every document's ids with ``end_id``, cut at ``capacity``.
 
     ``key`` is the column of that name; a null text is an empty one, of which only the end id stays. ``nth``
     numbers the pieces of a length within the task that made them: write the table before it is read twice.
     ``ids`` are little-endian integers of ``id_bytes`` bytes, 2 being enough for a vocabulary of up to 65,536;
-    ``ids_crc32`` is always that of 4 bytes an id.
+    ``ids_crc32`` is always that of 4 bytes an id. ``kept`` bounds the pieces of text that a worker remembers.
     """
     small_batches(df)
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, task = encoder(tokenizer, drops_space).ids, TaskContext.get().partitionId()
+        encode, task = encoder(tokenizer, drops_space, kept).ids, TaskContext.get().partitionId()
         seen = Counter()
         for batch in chunks(batches):
             rows = []

@@ -8,8 +8,10 @@ tokenizers library once, and its ids are kept for the next time. The memory of p
 from __future__ import annotations
 
 import functools
+import operator
 import os
 import re
+import string
 import sys
 import unicodedata
 from array import array
@@ -17,7 +19,7 @@ from collections.abc import Iterable, Iterator
 
 import pandas as pd
 
-PIECES_KEPT = 250_000   # and as many of the generation before: some 100 MB a worker
+PIECES_KEPT = 600_000   # and as many of the generation before: some 200 MB a worker
 # The separators that Python takes for white space and the tokenizers do not.
 UNSURE = ("\x1c", "\x1d", "\x1e", "\x1f")
 OTHER_SPACE = "\t\r\x0b\x0c"   # of ASCII, beside the space and the line's end
@@ -27,6 +29,9 @@ WITH_SPACE = re.compile(r"\s*\S+|\s+")
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 SPACE_SIGN = chr(BYTE_SIGNS[ord(" ")])
+# After plain letters these make one piece, up to the next letter, digit or white space; an apostrophe may take letters.
+CLOSING = string.punctuation.replace("'", "")
+ID = operator.attrgetter("id")
 
 
 def _bytes(ids: Iterable[int]) -> bytes:
@@ -37,13 +42,18 @@ def _bytes(ids: Iterable[int]) -> bytes:
 
 
 class _AfterSpace(dict):
-    """Ids of the words that follow one space; a missing one comes from the encoder."""
+    """Ids of the words that follow one space; a missing one comes from the generation before or the encoder."""
 
-    def __init__(self, find):
-        self.find = find
+    def __init__(self, encoder):
+        self.old: dict[str, bytes] = {}
+        self.tokenize, self.find = encoder.model.tokenize, encoder._found
 
     def __missing__(self, word: str) -> bytes:
-        known = self[word] = self.find(" " + word)
+        known = self.old.get(word)
+        if known is None:   # most are plain letters, which are their own signs
+            known = _bytes(map(ID, self.tokenize(SPACE_SIGN + word))) if (
+                word.isascii() and word.isalpha()) else self.find(" " + word)
+        self[word] = known
         return known
 
 
@@ -56,7 +66,7 @@ class PieceEncoder(dict):
     generation before, and encoded at last.
     """
 
-    def __init__(self, path: str, drops_space: bool):
+    def __init__(self, path: str, drops_space: bool, kept: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already fill the cores
         from tokenizers import Tokenizer
 
@@ -64,21 +74,16 @@ class PieceEncoder(dict):
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.added = [token.content for token in added]   # a text that holds one of these is cut there first
         self.folded = [token.content.lower() for token in added if token.normalized]
-        self.model, self.drops_space = self.tokenizer.model, drops_space
+        self.model, self.drops_space, self.kept = self.tokenizer.model, drops_space, kept or PIECES_KEPT
         self.split = str.split if drops_space else WITH_SPACE.findall
         self.old: dict[str, bytes] = {}
-        self.old_after: dict[str, bytes] = {}
-        self.after = _AfterSpace(self._after_space)
-
-    def _after_space(self, piece: str) -> bytes:
-        known = self.old_after.get(piece[1:])
-        return self._found(piece) if known is None else known
+        self.after = _AfterSpace(self)
 
     def _encoded(self, text: str) -> bytes:
         word = self._one_word(text)
         if word is None:
             return self._whole(text)
-        return _bytes(token.id for token in self.model.tokenize(word))
+        return _bytes(map(ID, self.model.tokenize(word)))
 
     def _whole(self, text: str) -> bytes:
         return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -90,6 +95,8 @@ class PieceEncoder(dict):
         """
         if self.drops_space:
             lower = piece.lower()
+            if piece.isascii():
+                return lower if lower.isalpha() else None
             if not (lower.isalpha() and len(lower) == len(piece) and "Σ" not in piece
                     and unicodedata.is_normalized("NFC", piece)):
                 return None
@@ -114,15 +121,15 @@ class PieceEncoder(dict):
         return known
 
     def _found(self, piece: str) -> bytes:
-        # Both vocabularies end a piece between plain letters and a full stop or comma.
-        if piece[-1] in ".," and len(piece) > 1 and self._plain(piece[:-1]):
-            word = piece[:-1]
+        # Both vocabularies end a piece between plain letters and the signs after them.
+        word = piece.rstrip(CLOSING)
+        if len(word) < len(piece) and word and self._plain(word):
             known = self.after[word[1:]] if word[0] == " " else self[word]
-            return known + self[piece[-1]]
+            return known + self[piece[len(word):]]
         if self.drops_space and piece != piece.lower() and self._one_word(piece) is not None:
             return self[piece.lower()]   # this vocabulary takes plain words without regard to case
         # The byte-level one also ends a piece between a line's end and the letters after it.
-        if not self.drops_space and piece[0] == "\n" and (piece[1:-1] if piece[-1] in ".," else piece[1:]).isalpha():
+        if not self.drops_space and piece[0] == "\n" and word[1:].isalpha():
             return self["\n"] + self[piece[1:]]
         return self._encoded(piece)
 
@@ -148,17 +155,17 @@ class PieceEncoder(dict):
             out = self._by_line(text)
         if out is None:
             out = b"".join(map(self.__getitem__, self.split(text)))
-        if len(self) + len(self.after) > PIECES_KEPT:  # the pieces of late live on, the others go
-            self.old, self.old_after = dict(self), dict(self.after)
+        if len(self) + len(self.after) > self.kept:  # the pieces of late live on, the others go
+            self.old, self.after.old = dict(self), dict(self.after)
             self.clear()
             self.after.clear()
         return out
 
 
 @functools.lru_cache(maxsize=4)
-def encoder(path: str, drops_space: bool) -> PieceEncoder:
-    """One per Python worker, kept between tasks."""
-    return PieceEncoder(path, drops_space)
+def encoder(path: str, drops_space: bool, kept: int | None = None) -> PieceEncoder:
+    """One per Python worker, kept between tasks; ``kept`` pieces are remembered, by default PIECES_KEPT."""
+    return PieceEncoder(path, drops_space, kept)
 
 
 def chunks(batches: Iterable[pd.DataFrame], rows: int = 512) -> Iterator[pd.DataFrame]:

@@ -2,6 +2,7 @@
 
 import tracemalloc
 
+import corpus_pipeline
 import pandas as pd
 import public_tokenizers
 
@@ -9,7 +10,7 @@ from finchlake.llm import probminhash, tokenizing
 
 
 def test_known_pieces_stay_few():
-    encoder = tokenizing.PieceEncoder(public_tokenizers.path("word_bpe_49k.json"), True)
+    encoder = tokenizing.PieceEncoder(public_tokenizers.path(corpus_pipeline.TOKENIZER), True, corpus_pipeline.PIECES_KEPT)
     most = 0
     for first in range(0, 640_000, 8_000):
         encoder.ids(" ".join(f"{i:x}".translate(str.maketrans("0123456789", "ghijklmnop")) for i in range(first, first + 8_000)))
