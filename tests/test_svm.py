@@ -74,6 +74,45 @@ def test_vectors_are_added_in_groups(spark, monkeypatch):
     assert {k: (loss, v.tolist()) for k, (loss, v) in found.items()} == {0: (100.0, [100.0] * 3), 1: (100.0, [200.0] * 3)}
 
 
+@pytest.mark.parametrize("long", [0, 10**9])
+def test_packed_rows_are_opened_as_they_were_and_models_share_a_pass(monkeypatch, long):
+    monkeypatch.setattr(svm, "PACKED_ENTRIES", 7)
+    monkeypatch.setattr(svm, "LONG_ROWS", long)
+    rng = np.random.default_rng(3)
+    lengths, n = rng.integers(0, 6, 20), 20
+    slots = np.concatenate([np.sort(rng.choice(30, k, replace=False)) for k in lengths])
+    sparse, dense = rng.integers(1, 4, len(slots)).astype(float), rng.normal(0, 1, 3 * n)
+    blocks = [svm.Block("a", 30), svm.Block("b", 3, weighted=False, dense=True)]
+    y, fold, factors = np.where(rng.random(n) > 0.4, 1.0, -1.0), rng.integers(-1, 3, n), rng.random((n, 2, 2))
+    held = svm.Rows(fold, y, [(slots, sparse, lengths), (np.tile(np.arange(3), n), dense, np.full(n, 3))])
+    packs = list(held.packs(factors))
+    again = svm.Rows.opened(packs, blocks)
+    assert len(packs) > 5 and again.n == n and (again.fold == fold).all() and (again.y == y).all() and (again.known == factors).all()
+    assert all((p == q).all() for x, z in zip(held.blocks, again.blocks) for p, q in zip(x, z))
+    points = [(0, None, (1.0, 2.0), rng.normal(0, 1, 34)), (1, 2, (1.0, 1.0), rng.normal(0, 1, 34))]
+    sums = np.zeros((34, 2))
+    loss = again.passed(blocks, points, 0.7, sums)
+    x = np.zeros((n, 33))
+    x[np.repeat(np.arange(n), lengths), slots] = sparse
+    x[:, 30:] = dense.reshape(n, 3)
+    for k, out, (low, high), w in points:
+        scaled = np.hstack([x[:, :30] * factors[:, k, :1], x[:, 30:] * factors[:, k, 1:], np.ones((n, 1))])
+        c = np.where(y > 0, high, low) * (1.0 if out is None else fold != out)
+        gap = np.maximum(0, 1 - y * (scaled @ w))
+        plain = scaled.T @ (-2 * 0.7 * c * y * gap)
+        assert loss[k] == pytest.approx(0.7 * (c * gap * gap).sum()) and sums[:, k] == pytest.approx(plain)
+
+
+def test_tasks_of_a_pass_do_not_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(svm, "ENTRIES_PER_TASK", 1)
+    seen, real = [], svm.summed
+    monkeypatch.setattr(svm, "summed", lambda rows, *a: (seen.append((rows.rdd.getNumPartitions(), rows.columns)), real(rows, *a))[1])
+    df = spark.createDataFrame([(f, y, a) for f, y, a, _ in sample()], ["fold", "label", "a"]).repartition(60)
+    model.fit_problems(df, ["a"], [0, 1], cost=1.0, max_iter=2, balanced=False)
+    assert max(n for n, _ in seen) <= 2 * spark.sparkContext.defaultParallelism
+    assert seen[-1][1] == ["entries", "pack"]
+
+
 def test_scoring_by_blocks_equals_the_passes(spark, sf_dir):
     rows = fx.noisy_labelled(spark, sf_dir)
     fitted = model.train(rows, lexicon=fx.LEXICON, hash_size=1 << 12)
